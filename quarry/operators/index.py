@@ -50,7 +50,9 @@ def index_token_rows(passages: DataFrame) -> DataFrame:
     """(pid, word_count, term): one row per index token occurrence."""
     arrays = passages.select("pid", T.word_count("passage").alias("word_count"),
                              T.index_tokens("passage").alias("_toks"))
-    return arrays.select("pid", "word_count", F.explode("_toks").alias("term"))
+    # explode_outer + null filter avoids Catalyst's inferred size(_toks) > 0
+    # filter, which would tokenise every passage a second time.
+    return arrays.select("pid", "word_count", F.explode_outer("_toks").alias("term")).where(F.col("term").isNotNull())
 
 
 def postings(passages: DataFrame) -> DataFrame:
@@ -106,7 +108,11 @@ def vocabulary(passages: DataFrame) -> DataFrame:
     The reference breaks count ties by first occurrence in the text; this
     engine breaks them by term, which is deterministic under any partitioning.
     """
-    counts = term_counts(passages)
+    return vocabulary_from_counts(term_counts(passages))
+
+
+def vocabulary_from_counts(counts: DataFrame) -> DataFrame:
+    """Vocabulary from (term, count) rows, e.g. the index's collection frequencies."""
     total = scalar_row(counts.agg(F.sum("count").alias("t")))["t"] or 0
     ranked = global_rank(counts, [F.col("count").desc(), F.col("term")])
     return ranked.select("term", "count", (F.col("count") / F.lit(float(max(total, 1)))).alias("normalised_frequency"),
@@ -127,8 +133,12 @@ def harmonic_number(n: int) -> float:
 
 def zipf(passages: DataFrame) -> DataFrame:
     """Vocabulary next to Zipf's law: zipf = 1 / (rank * H_T), T = total tokens."""
-    vocab = vocabulary(passages)
     total_tokens = scalar_row(index_token_rows(passages).agg(F.count(F.lit(1)).alias("t")))["t"]
-    hn = harmonic_number(int(total_tokens or 0))
+    return zipf_from_counts(term_counts(passages), int(total_tokens or 0))
+
+
+def zipf_from_counts(counts: DataFrame, total_tokens: int) -> DataFrame:
+    vocab = vocabulary_from_counts(counts)
+    hn = harmonic_number(int(total_tokens))
     return vocab.select("rank", "term", "normalised_frequency",
                         (F.lit(1.0) / (F.col("rank") * F.lit(hn))).alias("zipf"))

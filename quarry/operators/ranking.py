@@ -30,15 +30,41 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+# Largest group a single window task may sort (rows). Above it, or when no
+# group-size bound is known, ranks are computed by the distributed method.
+WINDOW_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the biggest group (a partial aggregate plus one max)."""
+    if not group_cols:
+        return df.count()
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    return int(sizes.agg(F.max("_n")).collect()[0][0] or 0)
+
+
 def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
-                name: str = "rank") -> DataFrame:
+                name: str = "rank", window_rows: int = WINDOW_GROUP_ROWS) -> DataFrame:
     """Add a 1-based rank (distinct positions, like row_number) per group.
 
     ``order_cols`` must make the order total inside a group (end with a
     unique tie-breaker such as ``ord``) for the result to be deterministic.
     Group keys must be non-null.
+
+    Strategy: measure the largest group first. If every group is within
+    ``window_rows`` a plain ``row_number`` window is safe (one task per group
+    is bounded). Otherwise - a hot query holding a large share of all rows -
+    the distributed range-sort method below is used.
     """
     group_cols = list(group_cols)
+    if group_cols and largest_group(df, group_cols) <= window_rows:
+        w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    return _rank_by_range_sort(df, group_cols, order_cols, name)
+
+
+def _rank_by_range_sort(df: DataFrame, group_cols: list[str], order_cols: Sequence[str | Column],
+                        name: str) -> DataFrame:
     ordered = durable(df.orderBy(*_cols(group_cols), *_cols(order_cols)))
     part = F.spark_partition_id().cast("long")
     tagged = ordered.select(

@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators import index as I
 from quarry.plans.execution import DEFAULT_BROADCAST_ROWS
+from quarry.sources.passage_index import PassageIndex
 
 
 @dataclass
@@ -58,17 +58,21 @@ class ScoringParams:
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 
 
+# Query-term lists up to this size are also pushed into the parquet scan of
+# the posting tables as an IN filter (row-group pruning on sorted files).
+PUSHDOWN_TERMS = 10_000
+
+
 @dataclass
 class Retrieval:
-    """Scorers over one passage table and one query table.
+    """Scorers over one persisted ``PassageIndex`` and one query table.
 
-    ``passages``: (pid, passage, ord); ``queries``: (qid, query);
-    ``candidates`` (optional): (qid, pid, ord) pairs to score. Without it the
-    candidates are the pairs sharing a raw query token with the passage's
-    index terms.
+    ``queries``: (qid, query); ``candidates`` (optional): (qid, pid, ord)
+    pairs to score. Without it the candidates are the pairs sharing a raw
+    query token with the passage's index terms.
     """
 
-    passages: DataFrame
+    index: PassageIndex
     queries: DataFrame
     candidates: DataFrame | None = None
     params: ScoringParams = field(default_factory=ScoringParams)
@@ -76,15 +80,25 @@ class Retrieval:
     def __post_init__(self):
         self._stats = None
         self._query_side_small = None
+        self._pushdown = None
+        self._qt = None
+
+    @property
+    def passages(self) -> DataFrame:
+        return self.index.passages
+
+    def with_candidates(self, candidates: DataFrame) -> "Retrieval":
+        r = Retrieval(self.index, self.queries, candidates, self.params)
+        r._stats, r._query_side_small, r._pushdown = self._stats, self._query_side_small, self._pushdown
+        r._qt = self._qt
+        return r
 
     # ------------------------------------------------------------------ stats
     def stats(self) -> dict:
         if self._stats is None:
-            p = self.params
-            needed = [p.n_passages, p.avdl, p.total_words, p.n_nonempty, p.vocabulary_size]
-            s = I.corpus_stats(self.passages) if any(v is None for v in needed) else {}
+            s = dict(self.index.stats())
             for key in ("n_passages", "avdl", "total_words", "n_nonempty", "vocabulary_size"):
-                override = getattr(p, key)
+                override = getattr(self.params, key)
                 if override is not None:
                     s[key] = override
             if s["n_passages"] <= 0:
@@ -94,11 +108,26 @@ class Retrieval:
 
     # ------------------------------------------------------------ query side
     def query_terms(self) -> DataFrame:
-        """(qid, ql, term, k): raw whitespace tokens of each query with counts."""
-        arrays = self.queries.select("qid", T.ws_tokens("query").alias("_toks"))
-        arrays = arrays.select("qid", F.size("_toks").alias("ql"), "_toks")
-        rows = arrays.select("qid", "ql", F.explode("_toks").alias("term"))
-        return rows.groupBy("qid", "ql", "term").agg(F.count(F.lit(1)).alias("k"))
+        """(qid, ql, term, k): raw whitespace tokens of each query with counts.
+
+        The first call counts the table (the query-side size check) and keeps
+        it cached when it is within the broadcast bound, so every later
+        query-side join reads the cache instead of re-tokenising the queries.
+        """
+        if self._qt is None:
+            arrays = self.queries.select("qid", T.ws_tokens("query").alias("_toks"))
+            arrays = arrays.select("qid", F.size("_toks").alias("ql"), "_toks")
+            rows = arrays.select("qid", "ql", F.explode_outer("_toks").alias("term")).where(F.col("term").isNotNull())
+            qt = rows.groupBy("qid", "ql", "term").agg(F.count(F.lit(1)).alias("k"))
+            if self._query_side_small is None:
+                cached = qt.cache()
+                self._query_side_small = cached.count() <= self.params.broadcast_rows
+                if self._query_side_small:
+                    qt = cached
+                else:
+                    cached.unpersist()
+            self._qt = qt
+        return self._qt
 
     def query_lengths(self) -> DataFrame:
         """(qid, ql) for every query, including queries without tokens."""
@@ -111,42 +140,44 @@ class Retrieval:
         terms, query vectors) has at most as many rows as ``query_terms``,
         so one row count of that table bounds them all.
         """
-        if self._query_side_small is None:
-            self._query_side_small = self.query_terms().count() <= self.params.broadcast_rows
+        self.query_terms()  # runs the size check once
         return F.broadcast(query_side) if self._query_side_small else query_side
 
     def query_term_set(self) -> DataFrame:
         return self.small(self.query_terms().select("term").distinct())
 
+    def _restrict(self, postings: DataFrame) -> DataFrame:
+        """Postings of query terms only: IN-list pushdown when short, semi-join always."""
+        if self._pushdown is None:
+            terms = self.query_terms().select("term").distinct().limit(PUSHDOWN_TERMS + 1).collect()
+            self._pushdown = [r.term for r in terms] if len(terms) <= PUSHDOWN_TERMS else []
+        if self._pushdown:
+            postings = postings.where(F.col("term").isin(self._pushdown))
+        return postings.join(self.query_term_set(), "term", "left_semi")
+
     # ---------------------------------------------------------- passage side
     def passage_lengths(self) -> DataFrame:
         """(pid, dl, wc): whitespace length and single-space length."""
-        return self.passages.select("pid", F.size(T.ws_tokens("passage")).alias("dl"),
-                                    T.word_count("passage").alias("wc"))
+        return self.index.docs.select("pid", "dl", F.col("word_count").alias("wc"))
 
     def raw_term_counts(self) -> DataFrame:
         """(pid, dl, term, f) for query terms only (raw whitespace tokens)."""
-        arrays = self.passages.select("pid", T.ws_tokens("passage").alias("_toks"))
-        arrays = arrays.select("pid", F.size("_toks").alias("dl"), "_toks")
-        rows = arrays.select("pid", "dl", F.explode("_toks").alias("term"))
-        rows = rows.join(self.query_term_set(), "term", "left_semi")
-        return rows.groupBy("pid", "dl", "term").agg(F.count(F.lit(1)).alias("f"))
+        return self._restrict(self.index.raw_postings).select("pid", "dl", "term", "f")
 
     def index_term_counts(self) -> DataFrame:
         """(pid, word_count, term, tf) from the index analyzer, query terms only."""
-        rows = I.index_token_rows(self.passages).join(self.query_term_set(), "term", "left_semi")
-        return rows.groupBy("pid", "word_count", "term").agg(F.count(F.lit(1)).alias("tf"))
+        return self._restrict(self.index.postings).select("pid", "word_count", "term", "tf")
 
     def query_term_df(self) -> DataFrame:
         """(term, df, cf) of query terms that are index terms."""
-        return I.document_frequency(self.index_term_counts())
+        return self._restrict(self.index.doc_freq).select("term", "df", "cf")
 
     def derived_candidates(self) -> DataFrame:
         """(qid, pid, ord): pairs where a raw query token is an index term of the passage."""
         hits = self.index_term_counts().select("pid", "term")
         qt = self.small(self.query_terms().select("qid", "term"))
         pairs = hits.join(qt, "term").select("qid", "pid").distinct()
-        return pairs.join(self.passages.select("pid", "ord"), "pid")
+        return pairs.join(self.index.docs.select("pid", "ord"), "pid")
 
     def candidate_pairs(self) -> DataFrame:
         if self.candidates is not None:
@@ -179,11 +210,11 @@ class Retrieval:
         sparse = m.groupBy("qid", "pid").agg(F.sum(contrib).alias("score"))
         return self._with_candidates(sparse)
 
-    def tfidf_passage_vectors(self, post: DataFrame | None = None) -> DataFrame:
+    def tfidf_passage_vectors(self) -> DataFrame:
         """(pid, term, weight): tf = tf/word_count, idf = log10(N / df), full index."""
         s = self.stats()
-        post = post if post is not None else I.postings(self.passages)
-        df = I.document_frequency(post).select("term", "df")
+        post = self.index.postings
+        df = self.index.doc_freq.select("term", "df")
         n = float(s["n_passages"])
         w = (F.col("tf") / F.col("word_count")) * F.log10(F.lit(n) / F.col("df"))
         return post.join(df, "term").select("pid", "term", w.alias("weight"))
@@ -202,9 +233,8 @@ class Retrieval:
         n = float(s["n_passages"])
         qv = self.tfidf_query_vectors()
         qnorm = qv.groupBy("qid").agg(F.sqrt(F.sum(F.col("k") * F.col("weight") ** 2)).alias("qnorm"))
-        # Passage norms need every index term of the passage.
-        pnorm = self.tfidf_passage_vectors().groupBy("pid").agg(
-            F.sqrt(F.sum(F.col("weight") ** 2)).alias("pnorm"))
+        # Passage norms need every index term of the passage: kept in the index.
+        pnorm = self.index.doc_norms
         df = self.small(self.query_term_df().select("term", "df"))
         wd = (F.col("tf") / F.col("word_count")) * F.log10(F.lit(n) / F.col("df"))
         pq = self.index_term_counts().join(df, "term").select("pid", "term", wd.alias("wd"))

@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators import evaluation as E
 from quarry.operators import index as I
 from quarry.operators.ranking import prefix_within, score_key, top_k_within
 from quarry.operators.scoring import SCORERS, Retrieval
 from quarry.sources import tables
+from quarry.sources.labelled import label_candidates
+from quarry.sources.passage_index import PassageIndex, index_for
 
 
 def r6(c: Column | str) -> Column:
@@ -26,8 +29,13 @@ def r6(c: Column | str) -> Column:
     return F.round(c, 6) + F.lit(0.0)
 
 
+def passage_index(spark: SparkSession, sf_dir: str) -> PassageIndex:
+    """The persisted index of the fixture's passages (built once per session)."""
+    return index_for(spark, f"documents@{sf_dir}", tables.passages(spark, sf_dir))
+
+
 def retrieval(spark: SparkSession, sf_dir: str) -> Retrieval:
-    return Retrieval(tables.passages(spark, sf_dir), tables.queries(spark, sf_dir))
+    return Retrieval(passage_index(spark, sf_dir), tables.queries(spark, sf_dir))
 
 
 # ----------------------------------------------------------------- analyzers
@@ -67,23 +75,25 @@ def q_passage_dedup(spark, sf_dir):
 
 
 def q_vocabulary(spark, sf_dir):
-    v = I.vocabulary(tables.passages(spark, sf_dir))
+    v = I.vocabulary_from_counts(passage_index(spark, sf_dir).doc_freq.select("term", F.col("cf").alias("count")))
     return v.select("term", "count", r6("normalised_frequency").alias("normalised_frequency"), "rank")
 
 
 def q_zipf(spark, sf_dir):
-    z = I.zipf(tables.passages(spark, sf_dir))
+    idx = passage_index(spark, sf_dir)
+    counts = idx.doc_freq.select("term", F.col("cf").alias("count"))
+    z = I.zipf_from_counts(counts, idx.stats()["total_tokens"])
     return z.select("rank", "term", r6("normalised_frequency").alias("normalised_frequency"),
                     r6("zipf").alias("zipf"))
 
 
 def q_inverted_index(spark, sf_dir):
-    post = I.postings(tables.passages(spark, sf_dir))
+    post = passage_index(spark, sf_dir).postings
     return post.select("term", "pid", "tf", F.col("word_count").cast("long").alias("word_count"))
 
 
 def q_document_frequency(spark, sf_dir):
-    return I.document_frequency(I.postings(tables.passages(spark, sf_dir))).select(
+    return passage_index(spark, sf_dir).doc_freq.select(
         "term", "df", F.col("cf").cast("long").alias("cf"))
 
 
@@ -115,7 +125,7 @@ def _scored(name: str) -> Callable[[SparkSession, str], DataFrame]:
 def ranked_prefix(r: Retrieval, scorer: str, k: int = 100) -> DataFrame:
     """Reference ranking: first k candidates per query by ord, then by score."""
     cands = prefix_within(r.candidate_pairs(), ["qid"], k)
-    scored = Retrieval(r.passages, r.queries, cands, r.params).score(scorer)
+    scored = r.with_candidates(cands).score(scorer)
     return top_k_within(scored, ["qid"], [score_key("score"), F.col("ord")], k)
 
 
@@ -141,6 +151,56 @@ def q_run_union(spark, sf_dir):
     return out
 
 
+# ---------------------------------------------------------------- evaluation
+def labelled_run(spark: SparkSession, sf_dir: str, scorer: str = "bm25") -> DataFrame:
+    """(qid, pid, ord, score, relevancy, grade, rank) over all candidates."""
+    r = retrieval(spark, sf_dir)
+    labels = label_candidates(r.candidate_pairs(), r.passages, r.queries, tables.quality_labels(spark, sf_dir))
+    run = r.score(scorer).join(labels, ["qid", "pid", "ord"])
+    return E.rank_run(run)
+
+
+def q_bm25_labelled(spark, sf_dir):
+    run = labelled_run(spark, sf_dir, "bm25")
+    return run.select("qid", "pid", r6("score").alias("score"), "relevancy", "grade", "rank")
+
+
+def q_average_precision(spark, sf_dir):
+    ap = E.average_precision(labelled_run(spark, sf_dir, "bm25"), "relevancy")
+    return ap.select("qid", r6("ave_precision").alias("ave_precision"))
+
+
+def q_ndcg_global(spark, sf_dir):
+    nd = E.ndcg(labelled_run(spark, sf_dir, "bm25"), "grade", "global_max")
+    return nd.select("qid", r6("dcg").alias("dcg"), r6("ndcg").alias("ndcg"))
+
+
+def q_ndcg_ideal(spark, sf_dir):
+    nd = E.ndcg(labelled_run(spark, sf_dir, "bm25"), "grade", "ideal")
+    return nd.select("qid", r6("dcg").alias("dcg"), r6("ndcg").alias("ndcg"))
+
+
+def q_map_ndcg_summary(spark, sf_dir):
+    parts = [E.summary(labelled_run(spark, sf_dir, s), s, "relevancy", "grade") for s in SCORERS]
+    out = parts[0]
+    for other in parts[1:]:
+        out = out.unionByName(other)
+    return out.select("algoname", r6("map").alias("map"), r6("mean_ndcg").alias("mean_ndcg"))
+
+
+def q_run_file_rows(spark, sf_dir):
+    s = retrieval(spark, sf_dir).bm25()
+    top = top_k_within(s, ["qid"], [score_key("score"), F.col("ord")], 100)
+    rows = E.run_rows(top, "BM25", 100)
+    return rows.select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+
+
+def q_label_histogram(spark, sf_dir):
+    r = retrieval(spark, sf_dir)
+    labels = label_candidates(r.candidate_pairs(), r.passages, r.queries, tables.quality_labels(spark, sf_dir))
+    return labels.groupBy("relevancy").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize_index": q_tokenize_index,
     "tokenize_ws": q_tokenize_ws,
@@ -163,4 +223,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lidstone": _scored("lidstone"),
     "dirichlet": _scored("dirichlet"),
     "run_union": q_run_union,
+    "bm25_labelled": q_bm25_labelled,
+    "average_precision": q_average_precision,
+    "ndcg_global": q_ndcg_global,
+    "ndcg_ideal": q_ndcg_ideal,
+    "map_ndcg_summary": q_map_ndcg_summary,
+    "run_file_rows": q_run_file_rows,
+    "label_histogram": q_label_histogram,
 }

@@ -145,6 +145,61 @@ def bm25_prefix100() -> str:
     return with_(*BASE, PAIRTERM, BM25, rk) + f"SELECT qid, pid, {r6('score')} AS score, rank FROM R_BM"
 
 
+LAB = ("LAB AS (SELECT c.qid, c.pid, c.ord, "
+       "(CASE WHEN contains(lower(coalesce(p.passage, '')), lower(coalesce(q.query, ''))) THEN 1.0 ELSE 0.0 END)::DOUBLE AS relevancy, "
+       "(CASE WHEN contains(lower(coalesce(p.passage, '')), lower(coalesce(q.query, ''))) THEN 2.0 "
+       "WHEN g.pid IS NOT NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS grade "
+       "FROM CAND c JOIN P p ON p.pid = c.pid JOIN Q q ON q.qid = c.qid "
+       "LEFT JOIN (SELECT DISTINCT doc_id AS pid FROM labels WHERE quality = 1 AND toxic = 0) g ON g.pid = c.pid)")
+
+
+def labelled(name: str) -> tuple[str, ...]:
+    """CTEs ending in RUN_<alias>: every candidate scored, labelled and ranked."""
+    alias, ctes = SCORER_CTE[name]
+    run = (f"RUN_{alias} AS (SELECT s.qid, s.pid, s.ord, s.score, l.relevancy, l.grade, "
+           f"row_number() OVER (PARTITION BY s.qid ORDER BY round(s.score, 9) DESC, s.ord) AS rank "
+           f"FROM {alias} s JOIN LAB l ON l.qid = s.qid AND l.pid = s.pid AND l.ord = s.ord)")
+    return (*ctes, LAB, run)
+
+
+def ap_cte(alias: str) -> str:
+    return (f"AP_{alias} AS (SELECT r.qid, coalesce(a.ap, 0.0) AS ave_precision FROM (SELECT DISTINCT qid FROM RUN_{alias}) r "
+            f"LEFT JOIN (SELECT qid, sum(hit_no * 1.0 / rank) / count(*) AS ap FROM (SELECT qid, rank, "
+            f"row_number() OVER (PARTITION BY qid ORDER BY rank) AS hit_no FROM RUN_{alias} WHERE relevancy = 1.0) "
+            f"GROUP BY qid) a ON a.qid = r.qid)")
+
+
+def dcg_cte(alias: str) -> str:
+    return (f"DCG_{alias} AS (SELECT r.qid, coalesce(d.dcg, 0.0) AS dcg FROM (SELECT DISTINCT qid FROM RUN_{alias}) r "
+            f"LEFT JOIN (SELECT qid, sum((pow(2.0, grade) - 1.0) / log2(rank + 1.0)) AS dcg FROM RUN_{alias} "
+            f"WHERE grade > 0 GROUP BY qid) d ON d.qid = r.qid)")
+
+
+def ndcg_global_cte(alias: str) -> str:
+    return (f"NG_{alias} AS (SELECT qid, dcg, CASE WHEN max(dcg) OVER () = 0 THEN 0.0 "
+            f"ELSE dcg / max(dcg) OVER () END AS ndcg FROM DCG_{alias})")
+
+
+def ndcg_ideal_cte(alias: str) -> str:
+    return (f"NI_{alias} AS (SELECT d.qid, d.dcg, CASE WHEN coalesce(i.idcg, 0) = 0 THEN 0.0 ELSE d.dcg / i.idcg END AS ndcg "
+            f"FROM DCG_{alias} d LEFT JOIN (SELECT qid, sum((pow(2.0, grade) - 1.0) / log2(irank + 1.0)) AS idcg FROM ("
+            f"SELECT qid, grade, row_number() OVER (PARTITION BY qid ORDER BY grade DESC, ord) AS irank "
+            f"FROM RUN_{alias} WHERE grade > 0) GROUP BY qid) i ON i.qid = d.qid)")
+
+
+def summary_sql() -> str:
+    ctes, parts, seen = [], [], set()
+    for name in ("tfidf_cosine", "bm25", "laplace", "lidstone", "dirichlet"):
+        alias = SCORER_CTE[name][0]
+        for c in (*labelled(name), ap_cte(alias), dcg_cte(alias), ndcg_global_cte(alias)):
+            if c not in seen:
+                seen.add(c)
+                ctes.append(c)
+        parts.append(f"SELECT '{name}' AS algoname, {r6('avg(a.ave_precision)')} AS map, "
+                     f"{r6('avg(n.ndcg)')} AS mean_ndcg FROM AP_{alias} a JOIN NG_{alias} n ON n.qid = a.qid")
+    return with_(*BASE, *ctes) + " UNION ALL ".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "tokenize_index": f"SELECT doc_id AS pid, len({idx('text')})::BIGINT AS n_tokens, "
                       f"array_to_string({idx('text')}, ' ') AS tokens FROM documents",
@@ -191,4 +246,18 @@ ORACLE: dict[str, str] = {
     "lidstone": scored("lidstone"),
     "dirichlet": scored("dirichlet"),
     "run_union": run_union(),
+    "bm25_labelled": with_(*BASE, *labelled("bm25")) + (
+        f"SELECT qid, pid, {r6('score')} AS score, relevancy, grade, rank FROM RUN_BM"),
+    "average_precision": with_(*BASE, *labelled("bm25"), ap_cte("BM")) + (
+        f"SELECT qid, {r6('ave_precision')} AS ave_precision FROM AP_BM"),
+    "ndcg_global": with_(*BASE, *labelled("bm25"), dcg_cte("BM"), ndcg_global_cte("BM")) + (
+        f"SELECT qid, {r6('dcg')} AS dcg, {r6('ndcg')} AS ndcg FROM NG_BM"),
+    "ndcg_ideal": with_(*BASE, *labelled("bm25"), dcg_cte("BM"), ndcg_ideal_cte("BM")) + (
+        f"SELECT qid, {r6('dcg')} AS dcg, {r6('ndcg')} AS ndcg FROM NI_BM"),
+    "map_ndcg_summary": summary_sql(),
+    "run_file_rows": with_(*BASE, PAIRTERM, BM25) + (
+        f"SELECT qid, 'A1' AS A, pid, rank, {r6('score')} AS score, 'BM25' AS algoname FROM ("
+        f"SELECT qid, pid, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, ord) AS rank "
+        f"FROM BM) WHERE rank <= 100"),
+    "label_histogram": with_(*BASE, LAB) + "SELECT relevancy, count(*)::BIGINT AS n FROM LAB GROUP BY relevancy",
 }
