@@ -8,6 +8,8 @@ DuckDB statements in ``quarry.plans.oracle_sql``.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +17,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import evaluation as E
+from quarry.operators import features as X
+from quarry.operators import logistic as L
 from quarry.operators import index as I
 from quarry.operators.ranking import prefix_within, score_key, top_k_within
 from quarry.operators.scoring import SCORERS, Retrieval
+from quarry.plans import learned as LR
+from quarry.plans.execution import ensure_checkpoint_dir
 from quarry.sources import tables
 from quarry.sources.labelled import label_candidates
 from quarry.sources.passage_index import PassageIndex, index_for
@@ -201,6 +207,99 @@ def q_label_histogram(spark, sf_dir):
     return labels.groupBy("relevancy").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ------------------------------------------------------------------ learners
+# Fixed values of the fixture: logistic weights w_i = ((7 i) mod 11 - 5) / 10, b = 0.05.
+def fixture_weights(dim: int = 64) -> list[float]:
+    return [((i * 7) % 11 - 5) / 10 for i in range(dim)]
+
+
+FIXTURE_BIAS = 0.05
+
+
+def embedding_rows(spark, sf_dir):
+    """(vec_id, qid, features array<double>, label 0-9, y binary) from ``embeddings``; qid = vec_id % 25."""
+    v = tables.vectors(spark, sf_dir)
+    return v.select("vec_id", (F.col("vec_id") % 25).alias("qid"),
+                    F.transform("embedding", lambda x: x.cast("double")).alias("features"),
+                    F.col("label").cast("long").alias("label"),
+                    F.when(F.col("label") >= 5, 1.0).otherwise(0.0).alias("y"))
+
+
+def q_avg_word_vectors(spark, sf_dir):
+    r = retrieval(spark, sf_dir)
+    counts = r.index.doc_freq.select("term", F.col("cf").alias("count"))
+    vectors = X.fixture_word_vectors(counts, tables.vectors(spark, sf_dir))
+    qv = X.average_vectors(r.queries, "qid", "query", vectors, 64, remove_stopwords=False)
+    pv = X.average_vectors(r.passages, "pid", "passage", vectors, 64, remove_stopwords=True)
+    both = qv.select(F.lit("q").alias("kind"), F.col("qid").alias("id"), "vector").unionByName(
+        pv.select(F.lit("p").alias("kind"), F.col("pid").alias("id"), "vector"))
+    rows = both.select("kind", "id", F.posexplode("vector").alias("dim", "value"))
+    return rows.select("kind", "id", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
+
+
+def q_libsvm_roundtrip(spark, sf_dir):
+    rows = embedding_rows(spark, sf_dir)
+    lines = rows.select(X.to_ranking_libsvm(rows, "label", "qid", "features").alias("value"))
+    path = os.path.join(ensure_checkpoint_dir(spark), f"libsvm-{uuid.uuid4().hex[:8]}")
+    lines.write.mode("overwrite").text(path)
+    parsed = X.parse_ranking_libsvm(spark.read.text(path))
+    out = parsed.select("qid", "label", F.posexplode("features").alias("dim", "value"))
+    return out.select("qid", "label", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
+
+
+def q_logistic_step(spark, sf_dir):
+    """Two gradient-descent iterations from zero (lr 0.1) on the embeddings, y = label >= 5."""
+    m = L.fit(embedding_rows(spark, sf_dir), 0.1, 2, "features", "y")
+    params = [(f"w{i}", v) for i, v in enumerate(m.w)] + [("b", m.b)] + \
+        [(f"cost{i}", c) for i, c in enumerate(m.costs)]
+    # The fitted model is a handful of numbers; return it as a frame.
+    return spark.createDataFrame(params, "param string, value double").select("param", r6("value").alias("value"))
+
+
+def q_logistic_predict(spark, sf_dir):
+    model = L.LogisticModel(fixture_weights(64), FIXTURE_BIAS, [], 0.0)
+    rows = embedding_rows(spark, sf_dir)
+    return rows.select("vec_id", r6(model.margin()).alias("z"), r6(model.probability()).alias("probability"),
+                       model.predict().alias("prediction"))
+
+
+def q_lr_sweep(spark, sf_dir):
+    models = L.fit_many(embedding_rows(spark, sf_dir), [10.0, 1.0, 0.5, 0.1, 0.01], 100, "features", "y")
+    return L.cost_trace(spark, models)
+
+
+def q_logistic_fit(spark, sf_dir):
+    r = retrieval(spark, sf_dir)
+    table = LR.candidate_feature_table(r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir))
+    scored, _ = LR.logistic_run(table, iterations=100, learning_rate=0.1, hard=True)
+    top = LR.ranked_run(scored, depth=100)
+    return E.run_rows(top, "LR", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+
+
+def q_mlp_rank(spark, sf_dir):
+    r = retrieval(spark, sf_dir)
+    table = LR.candidate_feature_table(r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir))
+    top = LR.ranked_run(LR.mlp_run(table), depth=100)
+    return E.run_rows(top, "NN", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+
+
+def q_word2vec_features(spark, sf_dir):
+    """Word2Vec on passage sentences; cosine of query and passage mean vectors per candidate."""
+    r = retrieval(spark, sf_dir)
+    vectors = X.train_word2vec(X.sentence_words(r.passages, "passage"), vector_size=32, min_count=4,
+                               window=10, max_iter=1, seed=7)
+    qv = X.average_vectors(r.queries, "qid", "query", vectors, 32)
+    pv = X.average_vectors(r.passages, "pid", "passage", vectors, 32, remove_stopwords=True)
+    feats = X.pair_features(r.candidate_pairs(), qv, pv)
+    q = F.slice("features", 1, 32)
+    p = F.slice("features", 33, 32)
+    dotp = F.aggregate(F.zip_with(q, p, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    nq = F.sqrt(F.aggregate(F.transform(q, lambda a: a * a), F.lit(0.0), lambda s, v: s + v))
+    npp = F.sqrt(F.aggregate(F.transform(p, lambda a: a * a), F.lit(0.0), lambda s, v: s + v))
+    cos = F.when((nq == 0) | (npp == 0), 0.0).otherwise(dotp / (nq * npp))
+    return feats.select("qid", "pid", r6(cos).alias("cosine"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize_index": q_tokenize_index,
     "tokenize_ws": q_tokenize_ws,
@@ -230,4 +329,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_ndcg_summary": q_map_ndcg_summary,
     "run_file_rows": q_run_file_rows,
     "label_histogram": q_label_histogram,
+    "avg_word_vectors": q_avg_word_vectors,
+    "libsvm_roundtrip": q_libsvm_roundtrip,
+    "logistic_step": q_logistic_step,
+    "logistic_predict": q_logistic_predict,
+    "lr_sweep": q_lr_sweep,
+    "logistic_fit": q_logistic_fit,
+    "mlp_rank": q_mlp_rank,
+    "word2vec_features": q_word2vec_features,
 }

@@ -200,6 +200,52 @@ def summary_sql() -> str:
     return with_(*BASE, *ctes) + " UNION ALL ".join(parts)
 
 
+def avg_word_vectors_sql() -> str:
+    voc = ("VOC AS (SELECT term AS word, vec_id FROM (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS vec_id "
+           "FROM DF) WHERE vec_id < 500)")
+    vec = "VEC AS (SELECT v.word, e.embedding FROM VOC v JOIN embeddings e ON e.vec_id = v.vec_id)"
+    txt = (f"TXT AS (SELECT 'q' AS kind, qid AS id, {words_plain('query')} AS w FROM Q UNION ALL "
+           f"SELECT 'p' AS kind, pid AS id, list_filter({words_plain('passage')}, lambda t: t NOT IN ({STOPS})) AS w FROM P)")
+    w = "W AS (SELECT kind, id, unnest(w) AS word FROM TXT)"
+    avgs = ("AVGS AS (SELECT kind, id, dim, avg(val) AS value FROM (SELECT h.kind, h.id, unnest(range(len(h.embedding))) AS dim, "
+            "unnest(h.embedding)::DOUBLE AS val FROM (SELECT w.kind, w.id, e.embedding FROM W w JOIN VEC e ON e.word = w.word) h) "
+            "GROUP BY kind, id, dim)")
+    alld = "ALLD AS (SELECT t.kind, t.id, d.dim FROM TXT t, range(64) d(dim))"
+    return with_(P, Q, POST, DF, voc, vec, txt, w, avgs, alld) + (
+        "SELECT a.kind, a.id, a.dim::BIGINT AS dim, " + r6("coalesce(v.value, 0.0)") + " AS value "
+        "FROM ALLD a LEFT JOIN AVGS v ON v.kind = a.kind AND v.id = a.id AND v.dim = a.dim")
+
+
+LOGISTIC_STEP = with_(
+    "X AS (SELECT vec_id, y, unnest(range(len(embedding))) AS j, unnest(embedding)::DOUBLE AS x FROM "
+    "(SELECT vec_id, embedding, (CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END)::DOUBLE AS y FROM embeddings))",
+    "R AS (SELECT DISTINCT vec_id, y FROM X)",
+    "M AS (SELECT count(*)::DOUBLE AS m FROM R)",
+    "W1 AS (SELECT j, -0.1 * sum((0.5 - y) * x) / (SELECT m FROM M) AS w FROM X GROUP BY j)",
+    "B1 AS (SELECT -0.1 * sum(0.5 - y) / (SELECT m FROM M) AS b FROM R)",
+    "Z AS (SELECT X.vec_id, X.y, sum(X.x * W1.w) + (SELECT b FROM B1) AS z FROM X JOIN W1 ON W1.j = X.j "
+    "GROUP BY X.vec_id, X.y)",
+    "PZ AS (SELECT vec_id, y, z, 1.0 / (1.0 + exp(-z)) AS p FROM Z)",
+    "W2 AS (SELECT W1.j, W1.w - 0.1 * sum((PZ.p - PZ.y) * X.x) / (SELECT m FROM M) AS w FROM X "
+    "JOIN PZ ON PZ.vec_id = X.vec_id JOIN W1 ON W1.j = X.j GROUP BY W1.j, W1.w)",
+    "B2 AS (SELECT (SELECT b FROM B1) - 0.1 * sum(p - y) / (SELECT m FROM M) AS b FROM PZ)",
+    "C AS (SELECT ln(2.0) AS cost0, avg(y * (greatest(-z, 0) + ln(1 + exp(-abs(z)))) "
+    "+ (1 - y) * (greatest(z, 0) + ln(1 + exp(-abs(z))))) AS cost1 FROM PZ)",
+) + (f"SELECT 'w' || j AS param, {r6('w')} AS value FROM W2 UNION ALL SELECT 'b', {r6('b')} FROM B2 "
+     f"UNION ALL SELECT 'cost0', {r6('cost0')} FROM C UNION ALL SELECT 'cost1', {r6('cost1')} FROM C")
+
+LOGISTIC_PREDICT = (
+    f"SELECT vec_id, {r6('z')} AS z, {r6('1.0 / (1.0 + exp(-z))')} AS probability, "
+    f"(CASE WHEN 1.0 / (1.0 + exp(-z)) > 0.5 THEN 1.0 ELSE 0.0 END)::DOUBLE AS prediction FROM ("
+    f"SELECT x.vec_id, sum(x.e * w.w) + 0.05 AS z FROM (SELECT vec_id, unnest(range(len(embedding))) AS i, "
+    f"unnest(embedding)::DOUBLE AS e FROM embeddings) x JOIN (SELECT i, ((i * 7) % 11 - 5) / 10.0 AS w "
+    f"FROM range(64) t(i)) w ON w.i = x.i GROUP BY x.vec_id)")
+
+LIBSVM_ROUNDTRIP = (
+    f"SELECT qid, label, dim, {r6('value')} AS value FROM (SELECT vec_id % 25 AS qid, label::DOUBLE AS label, "
+    f"unnest(range(len(embedding)))::BIGINT AS dim, unnest(embedding)::DOUBLE AS value FROM embeddings)")
+
+
 ORACLE: dict[str, str] = {
     "tokenize_index": f"SELECT doc_id AS pid, len({idx('text')})::BIGINT AS n_tokens, "
                       f"array_to_string({idx('text')}, ' ') AS tokens FROM documents",
@@ -260,4 +306,8 @@ ORACLE: dict[str, str] = {
         f"SELECT qid, pid, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, ord) AS rank "
         f"FROM BM) WHERE rank <= 100"),
     "label_histogram": with_(*BASE, LAB) + "SELECT relevancy, count(*)::BIGINT AS n FROM LAB GROUP BY relevancy",
+    "avg_word_vectors": avg_word_vectors_sql(),
+    "libsvm_roundtrip": LIBSVM_ROUNDTRIP,
+    "logistic_step": LOGISTIC_STEP,
+    "logistic_predict": LOGISTIC_PREDICT,
 }
