@@ -44,7 +44,8 @@ def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
 
 
 def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
-                name: str = "rank", window_rows: int = WINDOW_GROUP_ROWS) -> DataFrame:
+                name: str = "rank", window_rows: int = WINDOW_GROUP_ROWS,
+                group_bound: int | None = None) -> DataFrame:
     """Add a 1-based rank (distinct positions, like row_number) per group.
 
     ``order_cols`` must make the order total inside a group (end with a
@@ -54,10 +55,13 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     Strategy: measure the largest group first. If every group is within
     ``window_rows`` a plain ``row_number`` window is safe (one task per group
     is bounded). Otherwise - a hot query holding a large share of all rows -
-    the distributed range-sort method below is used.
+    the distributed range-sort method below is used. ``group_bound`` is a
+    known upper bound on group size (e.g. the passage count for per-query
+    groups of distinct passages); when given it replaces the measurement.
     """
     group_cols = list(group_cols)
-    if group_cols and largest_group(df, group_cols) <= window_rows:
+    size = group_bound if group_bound is not None else (largest_group(df, group_cols) if group_cols else None)
+    if group_cols and size <= window_rows:
         w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
     return _rank_by_range_sort(df, group_cols, order_cols, name)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.plans.execution import DEFAULT_BROADCAST_ROWS
+from quarry.plans.execution import DEFAULT_BROADCAST_ROWS, durable
 from quarry.sources.passage_index import PassageIndex
 
 
@@ -59,8 +59,10 @@ class ScoringParams:
 
 
 # Query-term lists up to this size are also pushed into the parquet scan of
-# the posting tables as an IN filter (row-group pruning on sorted files).
-PUSHDOWN_TERMS = 10_000
+# the posting tables as an IN filter (row-group pruning on the term-sorted
+# files). Longer lists rely on the broadcast semi-join alone: a huge IN list
+# costs more to plan than it saves.
+PUSHDOWN_TERMS = 256
 
 
 @dataclass
@@ -82,6 +84,7 @@ class Retrieval:
         self._query_side_small = None
         self._pushdown = None
         self._qt = None
+        self._cands = None
 
     @property
     def passages(self) -> DataFrame:
@@ -93,6 +96,10 @@ class Retrieval:
         r._qt = self._qt
         return r
 
+    def group_bound(self) -> int:
+        """Upper bound on candidates per query: each is a distinct passage."""
+        return int(self.stats()["n_passages"])
+
     # ------------------------------------------------------------------ stats
     def stats(self) -> dict:
         if self._stats is None:
@@ -152,7 +159,8 @@ class Retrieval:
             terms = self.query_terms().select("term").distinct().limit(PUSHDOWN_TERMS + 1).collect()
             self._pushdown = [r.term for r in terms] if len(terms) <= PUSHDOWN_TERMS else []
         if self._pushdown:
-            postings = postings.where(F.col("term").isin(self._pushdown))
+            quoted = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in self._pushdown)
+            postings = postings.where(F.expr(f"term IN ({quoted})"))
         return postings.join(self.query_term_set(), "term", "left_semi")
 
     # ---------------------------------------------------------- passage side
@@ -180,9 +188,12 @@ class Retrieval:
         return pairs.join(self.index.docs.select("pid", "ord"), "pid")
 
     def candidate_pairs(self) -> DataFrame:
+        """Candidates to score; derived ones are materialised once and shared by every scorer."""
         if self.candidates is not None:
             return self.candidates.select("qid", "pid", "ord")
-        return self.derived_candidates()
+        if self._cands is None:
+            self._cands = durable(self.derived_candidates())
+        return self._cands
 
     # ------------------------------------------------------------ per term
     def _matches(self) -> DataFrame:

@@ -23,7 +23,7 @@ from quarry.operators import index as I
 from quarry.operators.ranking import prefix_within, score_key, top_k_within
 from quarry.operators.scoring import SCORERS, Retrieval
 from quarry.plans import learned as LR
-from quarry.plans.execution import ensure_checkpoint_dir
+from quarry.plans.execution import durable, ensure_checkpoint_dir
 from quarry.sources import tables
 from quarry.sources.labelled import label_candidates
 from quarry.sources.passage_index import PassageIndex, index_for
@@ -158,36 +158,51 @@ def q_run_union(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- evaluation
-def labelled_run(spark: SparkSession, sf_dir: str, scorer: str = "bm25") -> DataFrame:
-    """(qid, pid, ord, score, relevancy, grade, rank) over all candidates."""
-    r = retrieval(spark, sf_dir)
-    labels = label_candidates(r.candidate_pairs(), r.passages, r.queries, tables.quality_labels(spark, sf_dir))
+def labelled(r: Retrieval, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every candidate pair, materialised once per retrieval."""
+    return durable(label_candidates(r.candidate_pairs(), r.passages, r.queries,
+                                    tables.quality_labels(spark, sf_dir)))
+
+
+def ranked_labelled(r: Retrieval, labels: DataFrame, scorer: str) -> DataFrame:
+    """(qid, pid, ord, score, relevancy, grade, rank) over all candidates, durable."""
     run = r.score(scorer).join(labels, ["qid", "pid", "ord"])
-    return E.rank_run(run)
+    return durable(E.rank_run(run, group_bound=r.group_bound()))
+
+
+def labelled_run(spark: SparkSession, sf_dir: str, scorer: str = "bm25") -> tuple[Retrieval, DataFrame]:
+    r = retrieval(spark, sf_dir)
+    return r, ranked_labelled(r, labelled(r, spark, sf_dir), scorer)
 
 
 def q_bm25_labelled(spark, sf_dir):
-    run = labelled_run(spark, sf_dir, "bm25")
+    _, run = labelled_run(spark, sf_dir, "bm25")
     return run.select("qid", "pid", r6("score").alias("score"), "relevancy", "grade", "rank")
 
 
 def q_average_precision(spark, sf_dir):
-    ap = E.average_precision(labelled_run(spark, sf_dir, "bm25"), "relevancy")
+    r, run = labelled_run(spark, sf_dir, "bm25")
+    ap = E.average_precision(run, "relevancy", r.group_bound())
     return ap.select("qid", r6("ave_precision").alias("ave_precision"))
 
 
 def q_ndcg_global(spark, sf_dir):
-    nd = E.ndcg(labelled_run(spark, sf_dir, "bm25"), "grade", "global_max")
+    r, run = labelled_run(spark, sf_dir, "bm25")
+    nd = E.ndcg(run, "grade", "global_max", r.group_bound())
     return nd.select("qid", r6("dcg").alias("dcg"), r6("ndcg").alias("ndcg"))
 
 
 def q_ndcg_ideal(spark, sf_dir):
-    nd = E.ndcg(labelled_run(spark, sf_dir, "bm25"), "grade", "ideal")
+    r, run = labelled_run(spark, sf_dir, "bm25")
+    nd = E.ndcg(run, "grade", "ideal", r.group_bound())
     return nd.select("qid", r6("dcg").alias("dcg"), r6("ndcg").alias("ndcg"))
 
 
 def q_map_ndcg_summary(spark, sf_dir):
-    parts = [E.summary(labelled_run(spark, sf_dir, s), s, "relevancy", "grade") for s in SCORERS]
+    r = retrieval(spark, sf_dir)
+    labels = labelled(r, spark, sf_dir)
+    parts = [E.summary(ranked_labelled(r, labels, s), s, "relevancy", "grade", group_bound=r.group_bound())
+             for s in SCORERS]
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other)
@@ -203,8 +218,7 @@ def q_run_file_rows(spark, sf_dir):
 
 def q_label_histogram(spark, sf_dir):
     r = retrieval(spark, sf_dir)
-    labels = label_candidates(r.candidate_pairs(), r.passages, r.queries, tables.quality_labels(spark, sf_dir))
-    return labels.groupBy("relevancy").agg(F.count(F.lit(1)).alias("n"))
+    return labelled(r, spark, sf_dir).groupBy("relevancy").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------------ learners

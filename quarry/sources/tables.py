@@ -25,13 +25,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a text table over the cluster when its scan has fewer
+    partitions than cores (a file with one row group is read by one task).
+    Large inputs already arrive in many splits and pass through unchanged."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pid, passage, ord); ord is the reference's file order, here the pid."""
-    return read_table(spark, sf_dir, "documents").select(
+    return spread(read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("pid"),
         F.col("text").alias("passage"),
         F.col("doc_id").alias("ord"),
-    )
+    ))
 
 
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +55,7 @@ def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return spread(read_table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
