@@ -297,6 +297,13 @@ def q_mlp_rank(spark, sf_dir):
     return E.run_rows(top, "NN", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
 
 
+def q_boosted_rank(spark, sf_dir):
+    r = retrieval(spark, sf_dir)
+    table = LR.candidate_feature_table(r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir))
+    top = LR.ranked_run(LR.boosted_run(table), depth=100)
+    return E.run_rows(top, "LM", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+
+
 def q_word2vec_features(spark, sf_dir):
     """Word2Vec on passage sentences; cosine of query and passage mean vectors per candidate."""
     r = retrieval(spark, sf_dir)
@@ -350,5 +357,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lr_sweep": q_lr_sweep,
     "logistic_fit": q_logistic_fit,
     "mlp_rank": q_mlp_rank,
+    "boosted_rank": q_boosted_rank,
     "word2vec_features": q_word2vec_features,
 }

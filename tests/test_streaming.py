@@ -1,0 +1,25 @@
+import os
+import tempfile
+
+from quarry.plans import catalog
+from quarry.streaming.queries import score_batch, start_scoring
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_matches_batch(spark):
+    idx = catalog.passage_index(spark, SF)
+    root = tempfile.mkdtemp(prefix="quarry-stream-")
+    src = os.path.join(root, "incoming")
+    queries = spark.read.parquet(f"{SF}/benchmark.parquet").selectExpr("item_id AS qid", "text AS query")
+    # Two arrival files.
+    queries.where("qid % 2 = 0").write.parquet(os.path.join(src, "a"))
+    queries.where("qid % 2 = 1").write.parquet(os.path.join(src, "b"))
+    stream = spark.readStream.schema("qid long, query string").option("recursiveFileLookup", "true") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_scoring(idx, stream, os.path.join(root, "out"), os.path.join(root, "ckpt"), "bm25", 5,
+                      available_now=True)
+    q.awaitTermination(300)
+    got = {(r.qid, r.pid, r.rank) for r in spark.read.parquet(os.path.join(root, "out")).collect()}
+    want = {(r.qid, r.pid, r.rank) for r in score_batch(idx, queries, "bm25", 5).collect()}
+    assert got == want and len(got) > 0
