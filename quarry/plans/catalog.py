@@ -40,8 +40,22 @@ def passage_index(spark: SparkSession, sf_dir: str) -> PassageIndex:
     return index_for(spark, f"documents@{sf_dir}", tables.passages(spark, sf_dir))
 
 
+# Derived, durable inputs shared by the registered queries of one session:
+# in the reference the candidate pairs are an input file, so the candidate
+# set (and its labels) is materialised once per query table, like the index.
+_SHARED: dict[tuple, object] = {}
+
+
+def _shared(spark: SparkSession, key: tuple, make):
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _SHARED:
+        _SHARED[k] = make()
+    return _SHARED[k]
+
+
 def retrieval(spark: SparkSession, sf_dir: str) -> Retrieval:
-    return Retrieval(passage_index(spark, sf_dir), tables.queries(spark, sf_dir))
+    return _shared(spark, ("retrieval", sf_dir),
+                   lambda: Retrieval(passage_index(spark, sf_dir), tables.queries(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- analyzers
@@ -160,8 +174,8 @@ def q_run_union(spark, sf_dir):
 # ---------------------------------------------------------------- evaluation
 def labelled(r: Retrieval, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of every candidate pair, materialised once per retrieval."""
-    return durable(label_candidates(r.candidate_pairs(), r.passages, r.queries,
-                                    tables.quality_labels(spark, sf_dir)))
+    return _shared(spark, ("labels", sf_dir), lambda: durable(label_candidates(
+        r.candidate_pairs(), r.passages, r.queries, tables.quality_labels(spark, sf_dir))))
 
 
 def ranked_labelled(r: Retrieval, labels: DataFrame, scorer: str) -> DataFrame:
@@ -282,24 +296,28 @@ def q_lr_sweep(spark, sf_dir):
     return L.cost_trace(spark, models)
 
 
-def q_logistic_fit(spark, sf_dir):
+def feature_table(spark, sf_dir):
+    """Candidate pair features and labels, materialised once per session."""
     r = retrieval(spark, sf_dir)
-    table = LR.candidate_feature_table(r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir))
+    return _shared(spark, ("features", sf_dir), lambda: LR.candidate_feature_table(
+        r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir)))
+
+
+def q_logistic_fit(spark, sf_dir):
+    table = feature_table(spark, sf_dir)
     scored, _ = LR.logistic_run(table, iterations=100, learning_rate=0.1, hard=True)
     top = LR.ranked_run(scored, depth=100)
     return E.run_rows(top, "LR", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
 
 
 def q_mlp_rank(spark, sf_dir):
-    r = retrieval(spark, sf_dir)
-    table = LR.candidate_feature_table(r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir))
+    table = feature_table(spark, sf_dir)
     top = LR.ranked_run(LR.mlp_run(table), depth=100)
     return E.run_rows(top, "NN", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
 
 
 def q_boosted_rank(spark, sf_dir):
-    r = retrieval(spark, sf_dir)
-    table = LR.candidate_feature_table(r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir))
+    table = feature_table(spark, sf_dir)
     top = LR.ranked_run(LR.boosted_run(table), depth=100)
     return E.run_rows(top, "LM", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
 
