@@ -1,0 +1,156 @@
+"""Recurrent re-ranker: two SimpleRNN layers and a sigmoid output.
+
+Architecture as in the reference (units=32, two recurrent layers, the first
+returning its whole sequence, a 1-unit sigmoid head, binary cross-entropy,
+RMSprop). A row's feature vector is read as ``steps`` x ``width`` (the
+reference views 600 floats as 30 x 20; the fixture's 128 as 8 x 16).
+
+Training is data-parallel full-batch: every iteration one ``mapInArrow``
+job computes, per partition, the loss and the backpropagation-through-time
+gradient of all parameters with NumPy and returns them as one row; the
+driver adds #partitions rows and applies the RMSprop update. Scoring is a
+forward pass in the same way, one output per row. The packed binary matrix
+of ``logistic`` is reused, so rows cross to Python as one buffer per batch.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarry.operators.logistic import _matrix, _pack_rows
+from quarry.plans.execution import durable
+
+NAMES = ("W1", "U1", "b1", "W2", "U2", "b2", "v", "c")
+
+
+def init_params(width: int, units: int = 32, seed: int = 0) -> dict[str, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    glorot = lambda a, b: rng.uniform(-1, 1, size=(a, b)) * np.sqrt(6.0 / (a + b))
+    return {"W1": glorot(width, units), "U1": np.linalg.qr(rng.normal(size=(units, units)))[0],
+            "b1": np.zeros(units), "W2": glorot(units, units),
+            "U2": np.linalg.qr(rng.normal(size=(units, units)))[0], "b2": np.zeros(units),
+            "v": glorot(units, 1)[:, 0], "c": np.zeros(1)}
+
+
+def forward(p: dict, x: np.ndarray):
+    """x: (n, steps, width) -> (output probabilities (n,), cache)."""
+    n, steps, _ = x.shape
+    units = p["b1"].shape[0]
+    h1 = np.zeros((n, steps + 1, units))
+    h2 = np.zeros((n, steps + 1, units))
+    for t in range(steps):
+        h1[:, t + 1] = np.tanh(x[:, t] @ p["W1"] + h1[:, t] @ p["U1"] + p["b1"])
+        h2[:, t + 1] = np.tanh(h1[:, t + 1] @ p["W2"] + h2[:, t] @ p["U2"] + p["b2"])
+    z = h2[:, steps] @ p["v"] + p["c"][0]
+    return 1.0 / (1.0 + np.exp(-z)), (x, h1, h2, z)
+
+
+def loss_and_grads(p: dict, x: np.ndarray, y: np.ndarray):
+    """Summed binary cross-entropy and its gradients (backpropagation through time)."""
+    prob, (x, h1, h2, z) = forward(p, x)
+    sp = np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
+    loss = float((y * (sp - z) + (1 - y) * sp).sum())
+    steps = x.shape[1]
+    g = {k: np.zeros_like(v) for k, v in p.items()}
+    dz = prob - y
+    g["v"] = h2[:, steps].T @ dz
+    g["c"] = np.array([dz.sum()])
+    dh2 = np.outer(dz, p["v"])
+    dh1_next = np.zeros_like(h1[:, 0])
+    dh1_seq = np.zeros_like(h1)
+    for t in range(steps, 0, -1):
+        da2 = dh2 * (1 - h2[:, t] ** 2)
+        g["W2"] += h1[:, t].T @ da2
+        g["U2"] += h2[:, t - 1].T @ da2
+        g["b2"] += da2.sum(axis=0)
+        dh1_seq[:, t] += da2 @ p["W2"].T
+        dh2 = da2 @ p["U2"].T
+    for t in range(steps, 0, -1):
+        dh1 = dh1_seq[:, t] + dh1_next
+        da1 = dh1 * (1 - h1[:, t] ** 2)
+        g["W1"] += x[:, t - 1].T @ da1
+        g["U1"] += h1[:, t - 1].T @ da1
+        g["b1"] += da1.sum(axis=0)
+        dh1_next = da1 @ p["U1"].T
+    return loss, g
+
+
+def _flat(g: dict) -> list[float]:
+    return np.concatenate([np.ravel(g[k]) for k in NAMES]).tolist()
+
+
+def _unflat(vec: np.ndarray, like: dict) -> dict:
+    out, i = {}, 0
+    for k in NAMES:
+        size = like[k].size
+        out[k] = vec[i:i + size].reshape(like[k].shape)
+        i += size
+    return out
+
+
+def _grad_pass(p: dict, steps: int, width: int):
+    def run(batches):
+        total = np.zeros(sum(v.size for v in p.values()))
+        loss = 0.0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            x = _matrix(batch.column(0), n, steps * width).reshape(n, steps, width)
+            y = batch.column(1).to_numpy(zero_copy_only=False)
+            part_loss, g = loss_and_grads(p, x, y)
+            loss += part_loss
+            total += np.asarray(_flat(g))
+        yield pa.RecordBatch.from_pydict({"g": [total.tolist()], "loss": [loss]})
+    return run
+
+
+@dataclass
+class RecurrentRanker:
+    steps: int
+    width: int
+    params: dict = field(default_factory=dict)
+    costs: list = field(default_factory=list)
+
+    def score(self, table: DataFrame, features: str = "features") -> DataFrame:
+        """Adds ``score`` = P(relevant) to every row (forward pass per partition)."""
+        p, steps, width = self.params, self.steps, self.width
+        cols = table.columns
+
+        def run(batches):
+            for batch in batches:
+                n = batch.num_rows
+                idx = batch.schema.get_field_index(features)
+                x = batch.column(idx).flatten().to_numpy(zero_copy_only=False).reshape(n, steps, width)
+                prob, _ = forward(p, x) if n else (np.zeros(0), None)
+                yield batch.append_column("score", pa.array(prob, type=pa.float64()))
+
+        schema = table.select(*cols).schema.add("score", "double")
+        return table.select(*cols).mapInArrow(run, schema)
+
+
+def fit(table: DataFrame, steps: int, width: int, iterations: int = 10, learning_rate: float = 0.001,
+        rho: float = 0.9, eps: float = 1e-7, units: int = 32, seed: int = 0,
+        features: str = "features", label: str = "label") -> RecurrentRanker:
+    """Full-batch RMSprop on the summed cross-entropy, averaged over rows."""
+    d = steps * width
+    src = table.select(F.col(features).cast("array<double>").alias("_x"), F.col(label).cast("double").alias("_y"))
+    packed = durable(src.mapInArrow(_pack_rows(d), "_xb binary, _y double"))
+    m = packed.count()
+    p = init_params(width, units, seed)
+    avg_sq = {k: np.zeros_like(v) for k, v in p.items()}
+    costs = []
+    for _ in range(iterations):
+        rows = packed.mapInArrow(_grad_pass(p, steps, width), "g array<double>, loss double").collect()
+        total = np.sum([np.asarray(r["g"]) for r in rows], axis=0) / m
+        costs.append(float(sum(r["loss"] for r in rows) / m))
+        g = _unflat(total, p)
+        for k in NAMES:
+            avg_sq[k] = rho * avg_sq[k] + (1 - rho) * g[k] ** 2
+            p[k] = p[k] - learning_rate * g[k] / (np.sqrt(avg_sq[k]) + eps)
+    return RecurrentRanker(steps, width, p, costs)

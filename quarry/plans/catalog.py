@@ -19,6 +19,7 @@ from quarry.functions import text as T
 from quarry.operators import evaluation as E
 from quarry.operators import features as X
 from quarry.operators import logistic as L
+from quarry.operators import recurrent as RNN
 from quarry.operators import index as I
 from quarry.operators.ranking import prefix_within, score_key, top_k_within
 from quarry.operators.scoring import SCORERS, Retrieval
@@ -322,6 +323,14 @@ def q_boosted_rank(spark, sf_dir):
     return E.run_rows(top, "LM", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
 
 
+def q_rnn_rank(spark, sf_dir):
+    """Recurrent re-ranker on the 128-dim pair features read as 8 steps x 16."""
+    table = feature_table(spark, sf_dir)
+    model = RNN.fit(table, steps=8, width=16, iterations=10, learning_rate=0.001)
+    top = LR.ranked_run(model.score(table), depth=100)
+    return E.run_rows(top, "NN", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+
+
 def q_word2vec_features(spark, sf_dir):
     """Word2Vec on passage sentences; cosine of query and passage mean vectors per candidate."""
     r = retrieval(spark, sf_dir)
@@ -376,5 +385,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistic_fit": q_logistic_fit,
     "mlp_rank": q_mlp_rank,
     "boosted_rank": q_boosted_rank,
+    "rnn_rank": q_rnn_rank,
     "word2vec_features": q_word2vec_features,
 }
