@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.logistic import _matrix, _pack_rows
-from quarry.plans.execution import durable
+from quarry.plans.execution import durable, ship_package
 
 NAMES = ("W1", "U1", "b1", "W2", "U2", "b2", "v", "c")
 
@@ -121,6 +121,7 @@ class RecurrentRanker:
         """Adds ``score`` = P(relevant) to every row (forward pass per partition)."""
         p, steps, width = self.params, self.steps, self.width
         cols = table.columns
+        ship_package(table.sparkSession)
 
         def run(batches):
             for batch in batches:
@@ -139,6 +140,7 @@ def fit(table: DataFrame, steps: int, width: int, iterations: int = 10, learning
         features: str = "features", label: str = "label") -> RecurrentRanker:
     """Full-batch RMSprop on the summed cross-entropy, averaged over rows."""
     d = steps * width
+    ship_package(table.sparkSession)
     src = table.select(F.col(features).cast("array<double>").alias("_x"), F.col(label).cast("double").alias("_y"))
     packed = durable(src.mapInArrow(_pack_rows(d), "_xb binary, _y double"))
     m = packed.count()

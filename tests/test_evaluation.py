@@ -52,3 +52,10 @@ def test_rank_paths_agree(spark):
     for q in range(3):
         ranks = sorted(v for (qq, _), v in a.items() if qq == q)
         assert ranks == list(range(1, len(ranks) + 1))
+
+
+def test_accuracy_and_choice(spark, ranked):
+    scored = spark.createDataFrame([(0.9, 1.0), (0.2, 0.0), (0.6, 0.0), (0.5, 1.0)], "score double, label double")
+    assert E.accuracy(scored) == 0.5
+    sums = E.summary(ranked, "A").unionByName(E.summary(ranked.withColumn("relevancy", F.lit(0.0)), "B"))
+    assert E.best_by_map(sums) == "A"
