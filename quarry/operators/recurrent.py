@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quarry.operators.logistic import _matrix, _pack_rows
 from quarry.plans.execution import durable, ship_package
@@ -131,7 +132,7 @@ class RecurrentRanker:
                 prob, _ = forward(p, x) if n else (np.zeros(0), None)
                 yield batch.append_column("score", pa.array(prob, type=pa.float64()))
 
-        schema = table.select(*cols).schema.add("score", "double")
+        schema = StructType([*table.select(*cols).schema.fields, StructField("score", DoubleType())])
         return table.select(*cols).mapInArrow(run, schema)
 
 
