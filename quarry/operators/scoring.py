@@ -310,5 +310,45 @@ class Retrieval:
     def score(self, scorer: str) -> DataFrame:
         return getattr(self, scorer)()
 
+    def all_scores(self) -> DataFrame:
+        """(qid, pid, ord, tfidf_cosine, bm25, laplace, lidstone, dirichlet) in one frame.
+
+        The four term-matching scorers share one pass over the matches (one
+        aggregate with four sums); the cosine adds its index-side dot
+        product. Same formulas as the single-scorer methods.
+        """
+        s, p = self.stats(), self.params
+        n, avdl = float(s["n_passages"]), float(s["avdl"])
+        v = float(s["vocabulary_size"])
+        pl = float(s["total_words"])
+        eps, mu = p.epsilon, p.mu
+        stat = "df" if p.background == "df" else "cf"
+        dfq = self.small(self.query_term_df().select(
+            "term", "df", (F.lit(mu) * F.col(stat) / F.lit(pl)).alias("bg")))
+        m = self._matches().join(dfq, "term", "left")
+        k, f, dl = F.col("k"), F.col("f"), F.col("dl")
+        idf = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        tf_part = f * (p.k1 + 1) / (F.lit(p.k1) * (1 - p.b + p.b * dl / F.lit(avdl)) + f)
+        q_part = k * (p.k2 + 1) / (F.lit(p.k2) + k)
+        known = F.col("df").isNotNull()
+        sparse = m.groupBy("qid", "pid").agg(
+            F.sum(F.when(known, k * idf * tf_part * q_part)).alias("_bm"),
+            F.sum(k * F.log(f + 1.0)).alias("_la"),
+            F.sum(k * (F.log(f / dl + eps) - F.log(F.lit(eps)))).alias("_li"),
+            F.sum(F.when(known, k * (F.log(f + F.col("bg")) - F.log("bg")))).alias("_di"))
+        per_query = (self.query_terms().join(self.small(dfq.select("term", "bg")), "term")
+                     .groupBy("qid").agg(F.sum(k * F.log("bg")).alias("a_q"), F.sum("k").alias("b_q")))
+        cos = self.tfidf_cosine().select("qid", "pid", F.col("score").alias("tfidf_cosine"))
+        pairs = (self._pair_frame().join(per_query, "qid", "left")
+                 .join(sparse, ["qid", "pid"], "left").join(cos, ["qid", "pid"], "left"))
+        z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+        return pairs.select(
+            "qid", "pid", "ord", F.coalesce("tfidf_cosine", F.lit(0.0)).alias("tfidf_cosine"),
+            z("_bm").alias("bm25"),
+            (z("_la") - F.col("ql") * F.log(F.col("dl") + F.lit(v))).alias("laplace"),
+            (z("_li") + F.col("ql") * (F.log(F.lit(eps)) - F.log(F.col("dl") + F.lit(eps * v)))).alias("lidstone"),
+            (z("a_q") - F.coalesce(F.col("b_q"), F.lit(0)) * F.log(F.col("dl") + F.lit(mu)) + z("_di"))
+            .alias("dirichlet"))
+
 
 SCORERS = ("tfidf_cosine", "bm25", "laplace", "lidstone", "dirichlet")

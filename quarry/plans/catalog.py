@@ -216,8 +216,13 @@ def q_ndcg_ideal(spark, sf_dir):
 def q_map_ndcg_summary(spark, sf_dir):
     r = retrieval(spark, sf_dir)
     labels = labelled(r, spark, sf_dir)
-    parts = [E.summary(ranked_labelled(r, labels, s), s, "relevancy", "grade", group_bound=r.group_bound())
-             for s in SCORERS]
+    # All five scores in one frame, labelled and materialised once.
+    scored = durable(r.all_scores().join(labels, ["qid", "pid", "ord"]))
+    parts = []
+    for s in SCORERS:
+        run = scored.select("qid", "pid", "ord", F.col(s).alias("score"), "relevancy", "grade")
+        ranked = E.rank_run(run, group_bound=r.group_bound())
+        parts.append(E.summary(ranked, s, "relevancy", "grade", group_bound=r.group_bound()))
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other)
