@@ -163,8 +163,12 @@ def q_bm25_top10(spark, sf_dir):
 
 def q_run_union(spark, sf_dir):
     r = retrieval(spark, sf_dir)
-    runs = [ranked_prefix(r, s, 100).select(F.lit(s).alias("algoname"), "qid", "pid",
-                                            r6("score").alias("score"), "rank")
+    # First 100 candidates per query, all five scores in one pass, then one run per scorer.
+    prefix = prefix_within(r.candidate_pairs(), ["qid"], 100)
+    scored = durable(r.with_candidates(prefix).all_scores())
+    runs = [top_k_within(scored.select("qid", "pid", "ord", F.col(s).alias("score")), ["qid"],
+                         [score_key("score"), F.col("ord")], 100)
+            .select(F.lit(s).alias("algoname"), "qid", "pid", r6("score").alias("score"), "rank")
             for s in SCORERS]
     out = runs[0]
     for other in runs[1:]:
