@@ -37,3 +37,22 @@ def test_derived_candidates(golden):
 def test_bm25_zero_without_shared_raw_term(golden):
     scores = {r.pid: r.score for r in golden.bm25().collect()}
     assert scores[3] == 0.0 and scores[4] == 0.0
+
+
+def test_all_scores_equal_single_scorers(golden):
+    rows = {r.pid: r for r in golden.all_scores().collect()}
+    for scorer, expected in EXPECTED.items():
+        for pid, want in expected.items():
+            assert rows[pid][scorer] == pytest.approx(want, abs=1e-6), (scorer, pid)
+
+
+def test_first_wins_dedup(spark):
+    from quarry.operators.index import dedup_by_text
+    from quarry.operators.ranking import first_wins
+
+    df = spark.createDataFrame([(5, "same text", 5), (2, "same text", 2), (9, "other", 9)],
+                               "pid long, passage string, ord long")
+    kept = sorted((r.pid, r.n_copies) for r in dedup_by_text(df).collect())
+    assert kept == [(2, 2), (9, 1)]
+    keyed = first_wins(df.withColumnRenamed("passage", "k"), ["k"], "ord").collect()
+    assert sorted((r.k, r.pid) for r in keyed) == [("other", 9), ("same text", 2)]
