@@ -2,8 +2,36 @@
 
 from __future__ import annotations
 
-from quarry.llm import quality_rules
+from quarry.llm import edit_decontamination, jaccard_join, language_mixture, license_scan, lz_dedup, quality_rules, rule_ensemble
 from quarry.llm.common import documents, spread
+from quarry.sources.tables import read_table
+
+
+def op1_edit_decontamination(spark, sf_dir):
+    docs = spread(documents(spark, sf_dir).select("doc_id", "text"))
+    return edit_decontamination.leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_rule_ensemble(spark, sf_dir):
+    docs = spread(documents(spark, sf_dir).select("doc_id", "text"))
+    return rule_ensemble.classify(docs, read_table(spark, sf_dir, "labels"))
+
+
+def op5_lz_dedup(spark, sf_dir):
+    return lz_dedup.dedup(spread(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+def op6_license_scan(spark, sf_dir):
+    return license_scan.scan(spread(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+def op8_language_mixture(spark, sf_dir):
+    docs = spread(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    return language_mixture.identify(docs, language_mixture.learn(docs))
+
+
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(spread(documents(spark, sf_dir).select("doc_id", "text")))
 
 
 def op10_quality_rules(spark, sf_dir):
@@ -11,6 +39,12 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_edit_decontamination": op1_edit_decontamination,
+    "op4_rule_ensemble": op4_rule_ensemble,
+    "op5_lz_dedup": op5_lz_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op8_language_mixture": op8_language_mixture,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
