@@ -134,9 +134,17 @@ def forest_rules(model) -> list[Rule]:
     return list(found)
 
 
-def fit(train: DataFrame, label_col: str = "label", trees: int = 12, depth: int = 3, lasso: float = 0.002,
+def fit(train: DataFrame, label_col: str = "label", trees: int = 16, depth: int = 4, lasso: float = 0.0001,
         seed: int = 11) -> RuleEnsemble:
     """Fit on ``train`` (``FEATURES`` and a 0/1 label), a bounded sample."""
+    train = train.coalesce(4).cache()
+    try:
+        return _fit(train, label_col, trees, depth, lasso, seed)
+    finally:
+        train.unpersist()
+
+
+def _fit(train: DataFrame, label_col: str, trees: int, depth: int, lasso: float, seed: int) -> RuleEnsemble:
     counts = {int(r[0]): r[1] for r in train.groupBy(label_col).count().collect()}
     if len(counts) < 2:
         n, ones = sum(counts.values()), counts.get(1, 0)
