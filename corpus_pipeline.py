@@ -1,14 +1,55 @@
 """Corpus cleaning pipeline over the ``documents`` table.
 
 Each stage is f(spark, docs, sf_dir) -> DataFrame; its result is written as
-Parquet and read back as the next one's input.
+Parquet in the shared checkpoint folder and read back as the next one's input.
+
+quality     documents that the rule ensemble scores below its threshold go
+lines       lines with an earlier duplicate go, and documents made of such lines only
+near_copies of every group of documents linked by n-gram Jaccard the smallest id stays
+benchmark   documents that hold a benchmark item go
+pieces      the remaining texts are encoded; their ids decode to the same text
+
+The quality model is fitted, so SQL cannot express the result (ORACLE_SQL is
+None); ``tests/llm/test_pipeline.py`` holds the stages against brute force.
 """
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import functions as F
+
+from quarry.llm import edit_decontamination, jaccard_join, line_dedup, piece_lattice, rule_ensemble
+from quarry.llm.common import documents, spread, stage
+from quarry.sources.tables import read_table
+
+
+def quality(spark, docs, sf_dir):
+    return rule_ensemble.keep_good(spread(docs), read_table(spark, sf_dir, "labels"))
+
+
+def lines(spark, docs, sf_dir):
+    out = line_dedup.clean(spread(docs))
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
+
+
+def near_copies(spark, docs, sf_dir):
+    groups = jaccard_join.jaccard_components(spread(docs))
+    return docs.join(groups.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark(spark, docs, sf_dir):
+    return edit_decontamination.clean(spread(docs), read_table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def pieces(spark, docs, sf_dir):
+    return piece_lattice.round_trip(spread(docs))
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("benchmark", benchmark), ("pieces", pieces)]
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = documents(spark, sf_dir)
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -213,3 +213,11 @@ def components(edges: DataFrame) -> DataFrame:
             return (small.select(F.col("a").alias("node"), F.col("b").alias("component"))
                     .union(roots.select("node", F.col("node").alias("component"))))
         e = small
+
+
+def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``ids``. The ids are counted first and
+    broadcast only up to ``broadcast_ids`` (8 bytes each); beyond, the join is
+    shuffled. Both ways give the same rows."""
+    small = ids.limit(broadcast_ids + 1).count() <= broadcast_ids
+    return df.join(F.broadcast(ids) if small else ids, key, "left_semi")

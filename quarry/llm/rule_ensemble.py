@@ -136,8 +136,11 @@ def forest_rules(model) -> list[Rule]:
 
 def fit(train: DataFrame, label_col: str = "label", trees: int = 16, depth: int = 4, lasso: float = 0.0001,
         seed: int = 11) -> RuleEnsemble:
-    """Fit on ``train`` (``FEATURES`` and a 0/1 label), a bounded sample."""
-    train = train.coalesce(4).cache()
+    """Fit on ``train`` (``FEATURES`` and a 0/1 label), a bounded sample; the
+    same rows in any order give the same rules."""
+    # a bounded sample: sorted on the driver, so that bagging sees the same rows in every run
+    rows = train.select(label_col, *FEATURES).toArrow()
+    train = train.sparkSession.createDataFrame(rows.sort_by([(c, "ascending") for c in rows.column_names])).coalesce(4).cache()
     try:
         return _fit(train, label_col, trees, depth, lasso, seed)
     finally:
@@ -184,3 +187,11 @@ def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max
     return statistics(docs).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score")
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS,
+              threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``threshold`` or more."""
+    model = fit(training_rows(docs, labels, label_col, max_rows))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row_"))
+    return statistics(rows, keep=("row_",)).where(model.score() >= threshold).select("row_.*")
