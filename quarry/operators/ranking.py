@@ -50,7 +50,7 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
 
     ``order_cols`` must make the order total inside a group (end with a
     unique tie-breaker such as ``ord``) for the result to be deterministic.
-    Group keys must be non-null.
+    Rows with a null group key form one group, on either path.
 
     Strategy: measure the largest group first. If every group is within
     ``window_rows`` a plain ``row_number`` window is safe (one task per group
@@ -79,12 +79,15 @@ def _rank_by_range_sort(df: DataFrame, group_cols: list[str], order_cols: Sequen
     stats = tagged.groupBy("_part", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_start"))
     before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select("_part", *group_cols, "_start",
+    keys = {c: f"_key{i}" for i, c in enumerate(group_cols)}
+    stats = stats.select(F.col("_part").alias("_of"), *[F.col(c).alias(k) for c, k in keys.items()], "_start",
                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
-    stats = bounded_broadcast(stats)
-    out = tagged.join(stats, ["_part", *group_cols]).withColumn(
+    same = F.col("_part") == F.col("_of")
+    for c, k in keys.items():
+        same = same & F.col(c).eqNullSafe(F.col(k))  # a null group is a group
+    out = tagged.join(bounded_broadcast(stats), same).withColumn(
         name, (F.col("_carry") + F.col("_local") - F.col("_start") + 1).cast("long"))
-    return out.drop("_part", "_local", "_start", "_carry")
+    return out.drop("_part", "_of", *keys.values(), "_local", "_start", "_carry")
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[str | Column], name: str = "rank") -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.plans.execution import DEFAULT_BROADCAST_ROWS, durable
+from quarry.plans.execution import DEFAULT_BROADCAST_ROWS, durable, scalar_row
 from quarry.sources.passage_index import PassageIndex
 
 
@@ -96,9 +96,15 @@ class Retrieval:
         r._qt = self._qt
         return r
 
+    def close(self) -> None:
+        """Free what the scorers keep in memory."""
+        if self._qt is not None and self._query_side_small:
+            self._qt.unpersist()
+        self._qt, self._query_side_small = None, None
+
     def group_bound(self) -> int:
         """Upper bound on candidates per query: each is a distinct passage."""
-        return int(self.stats()["n_passages"])
+        return int(self.index.stats()["n_passages"])
 
     # ------------------------------------------------------------------ stats
     def stats(self) -> dict:
@@ -110,6 +116,10 @@ class Retrieval:
                     s[key] = override
             if s["n_passages"] <= 0:
                 raise ValueError("empty passage table")
+            if self.params.n_passages is not None:
+                top = scalar_row(self.index.doc_freq.agg(F.max("df").alias("m")))["m"] or 0
+                if s["n_passages"] < top:
+                    raise ValueError(f"n_passages={s['n_passages']} is below the largest document frequency {top}")
             self._stats = s
         return self._stats
 

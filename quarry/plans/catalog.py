@@ -19,13 +19,14 @@ from quarry.functions import text as T
 from quarry.operators import evaluation as E
 from quarry.operators import features as X
 from quarry.operators import logistic as L
-from quarry.operators import recurrent as RNN
 from quarry.operators import index as I
-from quarry.operators.ranking import prefix_within, score_key, top_k_within
+from quarry.operators import pairwise as PW
+from quarry.operators.ranking import global_rank, prefix_within, rank_within, score_key, top_k_within
 from quarry.operators.scoring import SCORERS, Retrieval
 from quarry.plans import learned as LR
-from quarry.plans.execution import durable, ensure_checkpoint_dir
-from quarry.sources import tables
+from quarry.plans.execution import durable, ensure_checkpoint_dir, table_version
+from quarry.session import table_path
+from quarry.sources import files, tables
 from quarry.sources.labelled import label_candidates
 from quarry.sources.passage_index import PassageIndex, index_for
 
@@ -38,17 +39,25 @@ def r6(c: Column | str) -> Column:
 
 def passage_index(spark: SparkSession, sf_dir: str) -> PassageIndex:
     """The persisted index of the fixture's passages (built once per session)."""
-    return index_for(spark, f"documents@{sf_dir}", tables.passages(spark, sf_dir))
+    version = table_version(spark, table_path(sf_dir, "documents"))
+    return index_for(spark, f"documents@{sf_dir}@{version}", tables.passages(spark, sf_dir))
 
 
 # Derived, durable inputs shared by the registered queries of one session:
 # in the reference the candidate pairs are an input file, so the candidate
 # set (and its labels) is materialised once per query table, like the index.
 _SHARED: dict[tuple, object] = {}
+_SOURCES = ("documents", "benchmark", "labels", "embeddings")
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Changes when a source table is rewritten, so nothing stale is shared."""
+    return tuple(table_version(spark, table_path(sf_dir, t)) for t in _SOURCES)
 
 
 def _shared(spark: SparkSession, key: tuple, make):
-    k = (spark.sparkContext.applicationId, *key)
+    """``make()`` once per session, ``key`` (name, sf_dir) and version of the sources."""
+    k = (spark.sparkContext.applicationId, *key, _version(spark, key[1]))
     if k not in _SHARED:
         _SHARED[k] = make()
     return _SHARED[k]
@@ -163,17 +172,21 @@ def q_bm25_top10(spark, sf_dir):
 
 def q_run_union(spark, sf_dir):
     r = retrieval(spark, sf_dir)
-    # First 100 candidates per query, all five scores in one pass, then one run per scorer.
-    prefix = prefix_within(r.candidate_pairs(), ["qid"], 100)
-    scored = durable(r.with_candidates(prefix).all_scores())
-    runs = [top_k_within(scored.select("qid", "pid", "ord", F.col(s).alias("score")), ["qid"],
-                         [score_key("score"), F.col("ord")], 100)
-            .select(F.lit(s).alias("algoname"), "qid", "pid", r6("score").alias("score"), "rank")
-            for s in SCORERS]
-    out = runs[0]
-    for other in runs[1:]:
-        out = out.unionByName(other)
-    return out
+    # All candidates, all five scores in one pass, all runs ranked by one window.
+    runs = by_scorer(all_scores(spark, sf_dir), ["qid", "pid", "ord"])
+    ranked = rank_within(runs, ["algoname", "qid"], [score_key("score"), F.col("ord")], group_bound=r.group_bound())
+    return ranked.select("algoname", "qid", "pid", r6("score").alias("score"), "rank")
+
+
+def all_scores(spark, sf_dir):
+    """The five scores of every candidate pair, materialised once per session."""
+    return _shared(spark, ("scores", sf_dir), lambda: durable(retrieval(spark, sf_dir).all_scores()))
+
+
+def by_scorer(scored: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per pair and scorer: (algoname, score) from the five score columns."""
+    each = F.array(*[F.struct(F.lit(s).alias("algoname"), F.col(s).alias("score")) for s in SCORERS])
+    return scored.select(*keep, F.explode(each).alias("_s")).select(*keep, "_s.algoname", "_s.score")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -191,7 +204,7 @@ def ranked_labelled(r: Retrieval, labels: DataFrame, scorer: str) -> DataFrame:
 
 def labelled_run(spark: SparkSession, sf_dir: str, scorer: str = "bm25") -> tuple[Retrieval, DataFrame]:
     r = retrieval(spark, sf_dir)
-    return r, ranked_labelled(r, labelled(r, spark, sf_dir), scorer)
+    return r, _shared(spark, (f"run-{scorer}", sf_dir), lambda: ranked_labelled(r, labelled(r, spark, sf_dir), scorer))
 
 
 def q_bm25_labelled(spark, sf_dir):
@@ -219,25 +232,92 @@ def q_ndcg_ideal(spark, sf_dir):
 
 def q_map_ndcg_summary(spark, sf_dir):
     r = retrieval(spark, sf_dir)
-    labels = labelled(r, spark, sf_dir)
-    # All five scores in one frame, labelled and materialised once.
-    scored = durable(r.all_scores().join(labels, ["qid", "pid", "ord"]))
-    parts = []
-    for s in SCORERS:
-        run = scored.select("qid", "pid", "ord", F.col(s).alias("score"), "relevancy", "grade")
-        ranked = E.rank_run(run, group_bound=r.group_bound())
-        parts.append(E.summary(ranked, s, "relevancy", "grade", group_bound=r.group_bound()))
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
+    scored = all_scores(spark, sf_dir).join(labelled(r, spark, sf_dir), ["qid", "pid", "ord"])
+    runs = by_scorer(scored, ["qid", "pid", "ord", "relevancy", "grade"])
+    out = E.scored_summary(runs, "algoname", "relevancy", "grade", r.group_bound())
     return out.select("algoname", r6("map").alias("map"), r6("mean_ndcg").alias("mean_ndcg"))
 
 
 def q_run_file_rows(spark, sf_dir):
     s = retrieval(spark, sf_dir).bm25()
     top = top_k_within(s, ["qid"], [score_key("score"), F.col("ord")], 100)
-    rows = E.run_rows(top, "BM25", 100)
-    return rows.select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+    # written as a run file and read back
+    path = scratch(spark, "run6")
+    files.write_run6(top, path, "BM25", 100)
+    return files.read_run6(spark, path).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+
+
+def scratch(spark, name: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+# ------------------------------------------------------------- file to run
+def pair_file(spark, sf_dir, labelled_file: bool = False) -> str:
+    """The fixture as a candidate file: every passage under two queries, qid =
+    pid and pid + 1 modulo the number of queries, so every pid repeats."""
+    n = max(tables.queries(spark, sf_dir).count(), 1)
+    p = tables.passages(spark, sf_dir).select("pid", "passage", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+    pairs = p.withColumn("qid", (F.col("pid") + F.col("k")) % n).join(tables.queries(spark, sf_dir), "qid")
+    if labelled_file:
+        hit = F.contains(F.lower(F.coalesce("passage", F.lit(""))), F.lower("query"))
+        rows = pairs.select("qid", "pid", F.col("query").alias("queries"), "passage", F.when(hit, 1.0).otherwise(0.0).alias("relevancy"))
+    else:
+        rows = pairs.select("qid", "pid", "query", "passage")
+    path = scratch(spark, "pairs")
+    files.write_tsv(rows, path, header=labelled_file)
+    return path
+
+
+def q_passage_dedup_pid(spark, sf_dir):
+    """Candidate TSV read back; one passage per pid."""
+    rows = files.read_candidates_tsv(spark, pair_file(spark, sf_dir))
+    return I.passage_table(rows).select("pid", F.col("word_count").cast("long").alias("word_count"),
+                                        F.md5(F.coalesce("passage", F.lit(""))).alias("passage_md5"))
+
+
+def q_labelled_tsv(spark, sf_dir):
+    """Headed TSV with literal quotes, read back."""
+    rows = files.read_labelled_tsv(spark, pair_file(spark, sf_dir, labelled_file=True))
+    return rows.select("qid", "pid", F.md5(F.coalesce("query", F.lit(""))).alias("query_md5"),
+                       F.md5(F.coalesce("passage", F.lit(""))).alias("passage_md5"), "relevancy")
+
+
+def q_tsv_bm25_run(spark, sf_dir):
+    """Candidate and query TSV in, run file out: read, de-duplicate, index, score, write, read back."""
+    rows = files.read_candidates_tsv(spark, pair_file(spark, sf_dir))
+    path = scratch(spark, "queries")
+    files.write_tsv(tables.queries(spark, sf_dir), path)
+    index = PassageIndex.build(rows.select("pid", "passage", "ord"), scratch(spark, "tsv-index"))
+    r = Retrieval(index, files.read_queries_tsv(spark, path), rows.select("qid", "pid", "ord"))
+    out = scratch(spark, "run3")
+    files.write_run3(r.bm25(), out)
+    r.close()
+    return files.read_run3(spark, out).select("qid", "pid", r6("score").alias("score"))
+
+
+def q_corpus_terms(spark, sf_dir):
+    """Passages as a text file, one line each per line, read back and counted."""
+    path = scratch(spark, "corpus")
+    tables.passages(spark, sf_dir).select(F.explode(F.split(F.coalesce("passage", F.lit("")), "[\r\n]+")).alias("value")).write.text(path)
+    lines = files.read_text_corpus(spark, path).select(F.lit(0).alias("pid"), F.col("value").alias("passage"))
+    return I.index_token_rows(lines).groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_matrix_roundtrip(spark, sf_dir):
+    """Feature matrix written as text files and read back in the same row order."""
+    path = scratch(spark, "matrix")
+    rows = tables.vectors(spark, sf_dir).select(F.col("vec_id").alias("ord"), F.transform("embedding", lambda x: x.cast("double")).alias("features"))
+    files.write_matrix(rows, path)
+    back = global_rank(files.read_dense_matrix(spark, path), [F.col("ord")], "row")
+    back = back.select("row", F.posexplode("features").alias("dim", "value"))
+    return back.select("row", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
+
+
+def q_pairwise_gradients(spark, sf_dir):
+    """Gradient and hessian of the pairwise loss at the BM25 scores."""
+    _, run = labelled_run(spark, sf_dir, "bm25")
+    g = PW.pairwise_gradients(run.select("qid", "pid", "relevancy", "score"), "relevancy")
+    return g.select("qid", "pid", r6("gradient").alias("gradient"), r6("hessian").alias("hessian"))
 
 
 def q_label_histogram(spark, sf_dir):
@@ -302,7 +382,9 @@ def q_logistic_predict(spark, sf_dir):
 
 
 def q_lr_sweep(spark, sf_dir):
-    models = L.fit_many(embedding_rows(spark, sf_dir), [10.0, 1.0, 0.5, 0.1, 0.01], 100, "features", "y")
+    """Costs of five learning rates on the training queries' pairs, 100 iterations each."""
+    train, _ = LR.split_queries(feature_table(spark, sf_dir))
+    models = L.fit_many(train, [10.0, 1.0, 0.5, 0.1, 0.01], 100, "features", "relevancy")
     return L.cost_trace(spark, models)
 
 
@@ -310,51 +392,50 @@ def feature_table(spark, sf_dir):
     """Candidate pair features and labels, materialised once per session."""
     r = retrieval(spark, sf_dir)
     return _shared(spark, ("features", sf_dir), lambda: LR.candidate_feature_table(
-        r, tables.vectors(spark, sf_dir), tables.quality_labels(spark, sf_dir)))
+        r, tables.vectors(spark, sf_dir), labelled(r, spark, sf_dir)))
 
 
-def q_logistic_fit(spark, sf_dir):
-    table = feature_table(spark, sf_dir)
-    scored, _ = LR.logistic_run(table, iterations=100, learning_rate=0.1, hard=True)
-    top = LR.ranked_run(scored, depth=100)
-    return E.run_rows(top, "LR", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+def learned_run(spark, sf_dir, name: str):
+    """Held-out queries scored by a ranker fitted on the relevancy of the other queries."""
+    def make():
+        train, held = LR.split_queries(feature_table(spark, sf_dir))
+        return durable(LR.RANKERS[name](train, held).select("qid", "pid", "ord", "score", "relevancy", "grade"))
+    return _shared(spark, (f"learned-{name}", sf_dir), make)
 
 
-def q_mlp_rank(spark, sf_dir):
-    table = feature_table(spark, sf_dir)
-    top = LR.ranked_run(LR.mlp_run(table), depth=100)
-    return E.run_rows(top, "NN", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
-
-
-def q_boosted_rank(spark, sf_dir):
-    table = feature_table(spark, sf_dir)
-    top = LR.ranked_run(LR.boosted_run(table), depth=100)
-    return E.run_rows(top, "LM", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+def _learned_rank(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark, sf_dir):
+        top = LR.ranked_run(learned_run(spark, sf_dir, name), depth=100)
+        return E.run_rows(top, name, 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+    return run
 
 
-def q_rnn_rank(spark, sf_dir):
-    """Recurrent re-ranker on the 128-dim pair features read as 8 steps x 16."""
-    table = feature_table(spark, sf_dir)
-    model = RNN.fit(table, steps=8, width=16, iterations=10, learning_rate=0.001)
-    top = LR.ranked_run(model.score(table), depth=100)
-    return E.run_rows(top, "NN", 100).select("qid", "A", "pid", "rank", r6("score").alias("score"), "algoname")
+def q_learned_summary(spark, sf_dir):
+    """MAP, mean NDCG and accuracy of every learned ranker on the held-out
+    queries; ``best`` marks the ranker of the highest MAP."""
+    bound = retrieval(spark, sf_dir).group_bound()
+    runs = None
+    for name in LR.RANKERS:
+        run = learned_run(spark, sf_dir, name).withColumn("algoname", F.lit(name))
+        runs = run if runs is None else runs.unionByName(run)
+    out = E.scored_summary(runs, "algoname", "relevancy", "grade", bound)
+    hit = F.when((F.col("score") > 0.5) == (F.col("relevancy") == 1.0), 1.0).otherwise(0.0)
+    out = durable(out.join(runs.groupBy("algoname").agg(F.avg(hit).alias("accuracy")), "algoname"))
+    best = E.best_by_map(out)
+    return out.select("algoname", r6("map").alias("map"), r6("mean_ndcg").alias("mean_ndcg"), r6("accuracy").alias("accuracy"),
+                      (F.col("algoname") == best).alias("best"))
 
 
 def q_word2vec_features(spark, sf_dir):
-    """Word2Vec on passage sentences; cosine of query and passage mean vectors per candidate."""
-    r = retrieval(spark, sf_dir)
-    vectors = X.train_word2vec(X.sentence_words(r.passages, "passage"), vector_size=32, min_count=4,
-                               window=10, max_iter=1, seed=7)
-    qv = X.average_vectors(r.queries, "qid", "query", vectors, 32)
-    pv = X.average_vectors(r.passages, "pid", "passage", vectors, 32, remove_stopwords=True)
-    feats = X.pair_features(r.candidate_pairs(), qv, pv)
-    q = F.slice("features", 1, 32)
-    p = F.slice("features", 33, 32)
-    dotp = F.aggregate(F.zip_with(q, p, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    nq = F.sqrt(F.aggregate(F.transform(q, lambda a: a * a), F.lit(0.0), lambda s, v: s + v))
-    npp = F.sqrt(F.aggregate(F.transform(p, lambda a: a * a), F.lit(0.0), lambda s, v: s + v))
-    cos = F.when((nq == 0) | (npp == 0), 0.0).otherwise(dotp / (nq * npp))
-    return feats.select("qid", "pid", r6(cos).alias("cosine"))
+    """Two Word2Vec models, of the queries (min_count 2, window 1) and the passages
+    (min_count 4, window 10), 300 dimensions each; the mean vector of every text."""
+    q, p = tables.queries(spark, sf_dir), tables.passages(spark, sf_dir)
+    of_queries = X.train_word2vec(X.sentence_words(q, "query"), 300, min_count=2, window=1, seed=7)
+    of_passages = X.train_word2vec(X.sentence_words(p, "passage"), 300, min_count=4, window=10, seed=7)
+    qv = X.average_vectors(q, "qid", "query", of_queries, 300)
+    pv = X.average_vectors(p, "pid", "passage", of_passages, 300, remove_stopwords=True)
+    return qv.select(F.lit("q").alias("kind"), F.col("qid").alias("id"), "vector").unionByName(
+        pv.select(F.lit("p").alias("kind"), F.col("pid").alias("id"), "vector"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -391,9 +472,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistic_step": q_logistic_step,
     "logistic_predict": q_logistic_predict,
     "lr_sweep": q_lr_sweep,
-    "logistic_fit": q_logistic_fit,
-    "mlp_rank": q_mlp_rank,
-    "boosted_rank": q_boosted_rank,
-    "rnn_rank": q_rnn_rank,
+    "logistic_fit": _learned_rank("LR"),
+    "mlp_rank": _learned_rank("NN"),
+    "boosted_rank": _learned_rank("LM"),
+    "learned_summary": q_learned_summary,
+    "pairwise_gradients": q_pairwise_gradients,
+    "passage_dedup_pid": q_passage_dedup_pid,
+    "labelled_tsv": q_labelled_tsv,
+    "tsv_bm25_run": q_tsv_bm25_run,
+    "corpus_terms": q_corpus_terms,
+    "matrix_roundtrip": q_matrix_roundtrip,
     "word2vec_features": q_word2vec_features,
 }

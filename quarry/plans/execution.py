@@ -62,6 +62,34 @@ def scalar_row(df: DataFrame) -> dict:
     return rows[0].asDict()
 
 
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _folder(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return bool(fs.exists(p))
+
+
+def table_version(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of a table's files: changes when it is rewritten."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return ()
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -134,8 +134,8 @@ def run_union() -> str:
             if c not in seen:
                 seen.add(c)
                 ctes.append(c)
-        _, rk = prefix_ranked(name)
-        ctes.append(rk)
+        ctes.append(f"R_{alias} AS (SELECT qid, pid, score, row_number() OVER (PARTITION BY qid "
+                    f"ORDER BY round(score, 9) DESC, ord) AS rank FROM {alias})")
         parts.append(f"SELECT '{name}' AS algoname, qid, pid, {r6('score')} AS score, rank FROM R_{alias}")
     return with_(*BASE, *ctes) + " UNION ALL ".join(parts)
 
@@ -201,8 +201,8 @@ def summary_sql() -> str:
 
 
 def avg_word_vectors_sql() -> str:
-    voc = ("VOC AS (SELECT term AS word, vec_id FROM (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS vec_id "
-           "FROM DF) WHERE vec_id < 500)")
+    voc = ("VOC AS (SELECT term AS word, vec_id FROM (SELECT term, (row_number() OVER (ORDER BY cf DESC, term) - 1) "
+           "% (SELECT count(*) FROM embeddings) AS vec_id FROM DF))")
     vec = "VEC AS (SELECT v.word, e.embedding FROM VOC v JOIN embeddings e ON e.vec_id = v.vec_id)"
     txt = (f"TXT AS (SELECT 'q' AS kind, qid AS id, {words_plain('query')} AS w FROM Q UNION ALL "
            f"SELECT 'p' AS kind, pid AS id, list_filter({words_plain('passage')}, lambda t: t NOT IN ({STOPS})) AS w FROM P)")
@@ -246,7 +246,38 @@ LIBSVM_ROUNDTRIP = (
     f"unnest(range(len(embedding)))::BIGINT AS dim, unnest(embedding)::DOUBLE AS value FROM embeddings)")
 
 
+# The candidate file: every passage under the queries pid and pid + 1 (modulo their
+# number), tabs and line ends of all texts as blanks.
+FLAT = "translate({0}, chr(9) || chr(10) || chr(13), '   ')"
+FILE_P = f"P AS (SELECT doc_id AS pid, coalesce({FLAT.format('text')}, '') AS passage, doc_id AS ord FROM documents)"
+FILE_Q = f"Q AS (SELECT item_id AS qid, {FLAT.format('text')} AS query FROM benchmark)"
+FILE_CAND = ("CAND AS (SELECT q.qid, p.pid, p.ord FROM P p, (VALUES (0), (1)) t(k) JOIN Q q "
+             "ON q.qid = (p.pid + t.k) % (SELECT count(*) FROM Q))")
+FILE_BASE = (FILE_P, FILE_Q, QT, QL, POST, DF, RT, PL_, STATS, FILE_CAND)
+
+# Gradients straight from the row pairs of each query.
+PAIRS = ("PR AS (SELECT a.qid, a.pid AS hi, b.pid AS lo, 1.0 / (1.0 + exp(b.score - a.score)) AS p FROM RUN_BM a "
+         "JOIN RUN_BM b ON a.qid = b.qid AND a.relevancy > b.relevancy)")
+GRADIENTS = ("GR AS (SELECT qid, pid, sum(g) AS g, sum(h) AS h FROM ("
+             "SELECT qid, hi AS pid, p - 1 AS g, greatest(2 * p * (1 - p), 1e-16) AS h FROM PR "
+             "UNION ALL SELECT qid, lo, 1 - p, greatest(2 * p * (1 - p), 1e-16) FROM PR) GROUP BY qid, pid)")
+
+
 ORACLE: dict[str, str] = {
+    "passage_dedup_pid": with_(FILE_P) + f"SELECT pid, {wc('passage')}::BIGINT AS word_count, md5(passage) AS passage_md5 FROM P",
+    "labelled_tsv": with_(FILE_P, FILE_Q, FILE_CAND) + (
+        "SELECT c.qid, c.pid, md5(q.query) AS query_md5, md5(p.passage) AS passage_md5, "
+        "(CASE WHEN contains(lower(coalesce(d.text, '')), lower(b.text)) THEN 1.0 ELSE 0.0 END)::DOUBLE AS relevancy "
+        "FROM CAND c JOIN P p USING (pid) JOIN Q q USING (qid) JOIN documents d ON d.doc_id = c.pid "
+        "JOIN benchmark b ON b.item_id = c.qid"),
+    "tsv_bm25_run": with_(*FILE_BASE, PAIRTERM, BM25) + f"SELECT qid, pid, {r6('score')} AS score FROM BM",
+    "corpus_terms": with_(P, POST, DF) + "SELECT term, cf AS count FROM DF",
+    "matrix_roundtrip": (
+        f"SELECT row, dim, {r6('value')} AS value FROM (SELECT row_number() OVER (ORDER BY vec_id) AS row, "
+        f"unnest(range(len(embedding)))::BIGINT AS dim, unnest(embedding)::DOUBLE AS value FROM embeddings)"),
+    "pairwise_gradients": with_(*BASE, *labelled("bm25"), PAIRS, GRADIENTS) + (
+        f"SELECT r.qid, r.pid, {r6('coalesce(g.g, 0)')} AS gradient, {r6('coalesce(g.h, 0)')} AS hessian "
+        f"FROM RUN_BM r LEFT JOIN GR g USING (qid, pid)"),
     "tokenize_index": f"SELECT doc_id AS pid, len({idx('text')})::BIGINT AS n_tokens, "
                       f"array_to_string({idx('text')}, ' ') AS tokens FROM documents",
     "tokenize_ws": f"SELECT item_id AS qid, len({ws('text')})::BIGINT AS n_tokens, "

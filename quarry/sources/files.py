@@ -11,8 +11,10 @@ Quoting is off everywhere (a leading ``"`` stays part of the field), so an
 unbalanced quote cannot swallow the following lines.
 
 File order matters to the reference (prefix truncation, stable ties), so
-every row reader adds ``ord`` = ``monotonically_increasing_id()`` right at
-the scan: increasing in file order within a file's splits.
+every row reader adds ``ord`` right at the scan: a struct of the file's path
+(shorter names first, so part numbers of any width sort by number), the start
+of the block and the row's place in the block. It sorts like the files do,
+whatever order Spark reads them in.
 
 Writers:
 * ``write_run3``  qid,pid,score CSV, per query by score desc (ties by ord)
@@ -25,6 +27,7 @@ order without funnelling the run through one task.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,7 @@ from quarry.operators.evaluation import run_rows
 from quarry.operators.features import parse_ranking_libsvm, to_ranking_libsvm
 from quarry.operators.logistic import LogisticModel
 from quarry.operators.ranking import global_rank, score_key
+from quarry.plans.execution import ship_package
 
 CANDIDATES_SCHEMA = "qid long, pid long, query string, passage string"
 QUERIES_SCHEMA = "qid long, query string"
@@ -44,7 +48,12 @@ def _tsv(spark: SparkSession, path: str, schema: str, header: bool) -> DataFrame
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    return df.withColumn("ord", F.monotonically_increasing_id())
+    """Add ``ord`` to a fresh file scan. A block is read by one task, so the
+    increasing id orders its rows; path and block order the blocks."""
+    path = F.col("_metadata.file_path")
+    return df.select("*", F.struct(F.length(path).alias("size"), path.alias("path"),
+                                   F.col("_metadata.file_block_start").alias("start"),
+                                   F.monotonically_increasing_id().alias("row")).alias("ord"))
 
 
 def read_candidates_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -57,8 +66,7 @@ def read_queries_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_labelled_tsv(spark: SparkSession, path: str) -> DataFrame:
     """(qid, pid, query, passage, relevancy, ord); the header names the query column 'queries'."""
-    df = _tsv(spark, path, LABELLED_SCHEMA, header=True).withColumnRenamed("queries", "query")
-    return with_file_order(df)
+    return with_file_order(_tsv(spark, path, LABELLED_SCHEMA, header=True)).withColumnRenamed("queries", "query")
 
 
 def read_text_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -73,8 +81,7 @@ def read_dense_matrix(spark: SparkSession, path: str, sep: str = ",") -> DataFra
 
 
 def read_ranking_libsvm(spark: SparkSession, path: str) -> DataFrame:
-    return parse_ranking_libsvm(with_file_order(spark.read.text(path))).withColumn(
-        "ord", F.monotonically_increasing_id())
+    return parse_ranking_libsvm(with_file_order(spark.read.text(path)))
 
 
 def first_rows(df: DataFrame, n: int, ord_col: str = "ord") -> DataFrame:
@@ -83,6 +90,36 @@ def first_rows(df: DataFrame, n: int, ord_col: str = "ord") -> DataFrame:
     return global_rank(df, [F.col(ord_col)], "_row").where(F.col("_row") <= n).drop("_row")
 
 
+def write_tsv(df: DataFrame, path: str, header: bool = False) -> None:
+    """Tab-separated text without quoting; tabs and line ends inside a field become blanks."""
+    fields = [F.coalesce(F.translate(F.col(c).cast("string"), "\t\n\r", "   "), F.lit("")) for c in df.columns]
+    lines = df.select(F.concat_ws("\t", *fields).alias("value"))
+    if not header:
+        lines.write.mode("overwrite").text(path)
+        return
+    # the reader drops the first line of every file, so each file gets one
+    names = "\t".join(df.columns)
+
+    def with_header(batches):
+        first = True
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            yield pa.record_batch([pa.array([names, *rows] if first else rows, pa.string())], names=["value"])
+            first = False
+
+    ship_package(df.sparkSession)
+    lines.mapInArrow(with_header, "value string").write.mode("overwrite").text(path)
+
+
+def read_run3(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("qid long, pid long, score double").csv(path)
+
+
+def read_run6(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("sep", "\t").schema(
+        "qid long, A string, pid long, rank long, score double, algoname string").csv(path)
+
+
 def write_run3(scored: DataFrame, path: str) -> None:
     """qid,pid,score without header, rows per query by score desc then ord."""
     (scored.orderBy(F.col("qid"), score_key("score"), F.col("ord"))

@@ -33,7 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.plans.execution import DEFAULT_BROADCAST_ROWS, ensure_checkpoint_dir, scalar_row
+from quarry.operators.ranking import first_wins
+from quarry.plans.execution import (DEFAULT_BROADCAST_ROWS, delete_folder, ensure_checkpoint_dir, folder_bytes,
+                                    path_exists, scalar_row)
+
+# Token bytes behind each file of the posting tables.
+POSTING_FILE_BYTES = 64 << 20
 
 TABLES = ("docs", "postings", "raw_postings", "doc_freq", "doc_norms", "stats")
 
@@ -58,7 +63,10 @@ class PassageIndex:
         spark = passages.sparkSession
         if root is None:
             root = os.path.join(ensure_checkpoint_dir(spark), f"quarry-index-{uuid.uuid4().hex[:12]}")
-        n_parts = posting_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # One passage per pid: the first in ``ord``. Sorting that out moves whole
+        # texts, so it is left out where a count shows that no pid repeats.
+        if passages.groupBy("pid").count().where("count > 1").limit(1).count():
+            passages = first_wins(passages, ["pid"])
 
         # Stage 1: tokenise every passage exactly once.
         arrays = passages.select(
@@ -68,6 +76,8 @@ class PassageIndex:
                                F.size("raw").alias("dl"), "idx", "raw")
         arrays.write.mode("overwrite").parquet(f"{root}/tokens")
         tok = spark.read.parquet(f"{root}/tokens")
+        n_parts = posting_partitions or max(spark.sparkContext.defaultParallelism,
+                                            -(-folder_bytes(spark, f"{root}/tokens") // POSTING_FILE_BYTES))
 
         tok.select("pid", "ord", "word_count", "dl", "n_index_tokens") \
             .write.mode("overwrite").parquet(f"{root}/docs")
@@ -112,6 +122,7 @@ class PassageIndex:
             .agg(F.sqrt(F.sum(w * w)).alias("pnorm")) \
             .write.mode("overwrite").parquet(f"{root}/doc_norms")
 
+        delete_folder(spark, f"{root}/tokens")
         return cls(spark, root, passages)
 
     @classmethod
@@ -160,17 +171,10 @@ _BUILT: dict[tuple[str, str], PassageIndex] = {}
 def index_for(spark: SparkSession, source_key: str, passages: DataFrame) -> PassageIndex:
     key = (spark.sparkContext.applicationId, source_key)
     idx = _BUILT.get(key)
-    if idx is None or not _exists(idx.root):
+    if idx is None or not path_exists(spark, f"{idx.root}/stats"):
         digest = hashlib.sha1(source_key.encode()).hexdigest()[:10]
         root = os.path.join(ensure_checkpoint_dir(spark), f"quarry-index-{digest}-{uuid.uuid4().hex[:6]}")
         idx = PassageIndex.build(passages, root)
         _BUILT[key] = idx
     return idx
 
-
-def _exists(root: str) -> bool:
-    if root.startswith("file:"):
-        root = root[5:]
-    if "://" in root:
-        return True  # remote storage: trust the session-scoped registry
-    return os.path.exists(os.path.join(root, "stats"))

@@ -59,3 +59,25 @@ def test_accuracy_and_choice(spark, ranked):
     assert E.accuracy(scored) == 0.5
     sums = E.summary(ranked, "A").unionByName(E.summary(ranked.withColumn("relevancy", F.lit(0.0)), "B"))
     assert E.best_by_map(sums) == "A"
+
+
+def test_rank_paths_agree_on_null_groups(spark):
+    from quarry.operators.ranking import rank_within
+    rows = [(None, 3), (None, 1), (None, 2), (1, 5), (1, 4), (2, 9)]
+    df = spark.createDataFrame(rows, "g long, x long")
+    one, other = (sorted(rank_within(df, ["g"], ["x"], window_rows=w).collect(), key=str) for w in (100, 0))
+    assert one == other and len(one) == 6
+
+
+def test_scored_summary_matches_single_runs(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(a, q, p, p, rnd.random(), float(rnd.random() < 0.2), float(rnd.randrange(3))) for a in "xy" for q in range(5) for p in range(20)]
+    df = spark.createDataFrame(rows, "algoname string, qid long, pid long, ord long, score double, relevancy double, grade double")
+    want = {}
+    for a in "xy":
+        r = E.summary(E.rank_run(df.where(F.col("algoname") == a)), a, "relevancy", "grade").first()
+        want[a] = (r["map"], r.mean_ndcg)
+    for bound in (100, None):  # one window, and the distributed sort
+        got = {r.algoname: (r["map"], r.mean_ndcg) for r in E.scored_summary(df, group_bound=bound, window_rows=100 if bound else 0).collect()}
+        assert all(got[a] == pytest.approx(want[a]) for a in want)

@@ -61,3 +61,40 @@ def test_model_save_load(spark, tmp):
     m = LogisticModel([0.1, -0.2], 0.3, [0.69, 0.5], 0.1)
     files.save_logistic(spark, m, os.path.join(tmp, "lr"))
     assert files.load_logistic(spark, os.path.join(tmp, "lr")) == m
+
+
+def test_order_over_many_uneven_part_files(spark, tmp):
+    """Row order comes back whatever the sizes and the order the files are read in."""
+    path, want, k = os.path.join(tmp, "parts"), [], 0
+    os.mkdir(path)
+    for part in range(12):
+        with open(os.path.join(path, f"part-{part:05d}-x.txt"), "w") as fh:
+            for _ in range((part * 37) % 23 * 40 + 1):
+                fh.write(f"{k}.0,{part}.0\n")
+                want.append([float(k), float(part)])
+                k += 1
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # several blocks a file
+    try:
+        df = files.read_dense_matrix(spark, path)
+        assert [r.features for r in df.orderBy("ord").collect()] == want
+        assert [r.features for r in files.first_rows(df, 50).orderBy("ord").collect()] == want[:50]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_queries_and_text_corpus(spark, tmp):
+    with open(os.path.join(tmp, "q.tsv"), "w") as fh:
+        fh.write("3\twhat \"is\n4\tthat\n")
+    assert [tuple(r) for r in files.read_queries_tsv(spark, os.path.join(tmp, "q.tsv")).collect()] == [(3, 'what "is'), (4, "that")]
+    with open(os.path.join(tmp, "t.txt"), "w") as fh:
+        fh.write("a b\n\nc")
+    assert [r.value for r in files.read_text_corpus(spark, os.path.join(tmp, "t.txt")).collect()] == ["a b", "", "c"]
+
+
+def test_headed_tsv_of_several_files(spark, tmp):
+    df = spark.createDataFrame([(i, i + 1, 'q "x', "p\tp\np", float(i % 2)) for i in range(20)],
+                               "qid long, pid long, queries string, passage string, relevancy double").repartition(4)
+    files.write_tsv(df, os.path.join(tmp, "h"), header=True)
+    back = sorted(tuple(r)[:5] for r in files.read_labelled_tsv(spark, os.path.join(tmp, "h")).collect())
+    assert back == [(i, i + 1, 'q "x', "p p p", float(i % 2)) for i in range(20)]

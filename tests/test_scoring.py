@@ -1,5 +1,13 @@
 import pytest
 
+from quarry.operators.scoring import Retrieval, ScoringParams
+from quarry.sources.passage_index import PassageIndex
+
+
+def flat(rows):
+    return [x for r in sorted(tuple(r) for r in rows) for x in r]
+
+
 # Hand goldens (FIXTURES.md section 4): N=4, avdl=3.25, V=10, PL=13.
 EXPECTED = {
     "tfidf_cosine": {1: 1.208137, 2: 0.123091, 3: 0.0, 4: 0.0},
@@ -56,3 +64,26 @@ def test_first_wins_dedup(spark):
     assert kept == [(2, 2), (9, 1)]
     keyed = first_wins(df.withColumnRenamed("passage", "k"), ["k"], "ord").collect()
     assert sorted((r.k, r.pid) for r in keyed) == [("other", 9), ("same text", 2)]
+
+
+def test_repeated_passages_count_once(spark, golden, tmp_path):
+    """A candidate file holds a passage under several queries; statistics must not double."""
+    rows = [(1, "the red fox", 1), (2, "Red red dog.", 2), (3, "blue sky  day", 3), (4, "the old crow", 4),
+            (1, "the red fox", 5), (1, "another text", 6), (3, "blue sky  day", 7)]
+    idx = PassageIndex.build(spark.createDataFrame(rows, "pid long, passage string, ord long"), str(tmp_path / "idx"))
+    assert idx.stats() == golden.index.stats()
+    cands = spark.createDataFrame([(1, p, p) for p in (1, 2, 3, 4)], "qid long, pid long, ord long")
+    got = flat(Retrieval(idx, golden.queries, cands).all_scores().collect())
+    assert got == pytest.approx(flat(golden.all_scores().collect()))
+    assert not (tmp_path / "idx" / "tokens").exists()
+
+
+def test_too_small_n_is_refused(golden):
+    r = Retrieval(golden.index, golden.queries, golden.candidates, ScoringParams(n_passages=1))
+    with pytest.raises(ValueError, match="document frequency"):
+        r.bm25()
+
+
+def test_shuffled_and_broadcast_query_side_agree(golden):
+    r = Retrieval(golden.index, golden.queries, golden.candidates, ScoringParams(broadcast_rows=0))
+    assert flat(r.bm25().collect()) == pytest.approx(flat(golden.bm25().collect()))
