@@ -93,8 +93,11 @@ def variants(lines: DataFrame) -> DataFrame:
 
 def near_earlier(lines: DataFrame) -> DataFrame:
     """(place, earlier): the earliest line one word edit away, verified."""
-    v = stage(variants(lines), "line-variants")
-    base = lines.select(F.xxhash64("h").alias("v"), "place")
+    # the lines themselves stand among the variants, at place -1
+    rows = stage(variants(lines).union(lines.select("place", F.lit(-1), F.xxhash64("h"))), "line-variants")
+    shared = rows.groupBy("v").agg((F.min(F.xxhash64("place")) != F.max(F.xxhash64("place"))).alias("shared")).where("shared")
+    rows = stage(rows.join(shared.select("v"), "v"), "line-shared")
+    v, base = rows.where("at >= 0"), rows.where("at < 0").select("v", "place")
     replaced = v.groupBy("v", "at").agg(F.min("place").alias("m"), F.max("place").alias("x")).where("m < x")
     longer = v.groupBy("v").agg(F.min("place").alias("m"))
     found = (v.join(replaced, ["v", "at"]).select("place", "m")

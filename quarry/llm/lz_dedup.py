@@ -77,7 +77,12 @@ def window_blocks(hashes: np.ndarray, window: int, anchor: int):
     edge = np.flatnonzero(at[1:] != at[:-1]) + 1
     first = np.concatenate(([0], edge))
     last = np.concatenate((edge, [len(at)])) - 1
-    return first, last, runs[at[first]], spans_hash(hashes, first, last + window)
+    anchors, content = runs[at[first]], spans_hash(hashes, first, last + window)
+    # a word or phrase said over and over makes equal blocks in a row: one block
+    new = np.concatenate(([True], (anchors[1:] != anchors[:-1]) | (content[1:] != content[:-1])))
+    head = np.flatnonzero(new)
+    tail = np.concatenate((head[1:], [len(new)])) - 1
+    return first[head], last[tail], anchors[head], content[head]
 
 
 def spans_hash(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
