@@ -1,21 +1,23 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 The piece table of a public SentencePiece model is a relation (piece, id,
-score). A text, with a blank put before it, is cut into words (a run of
-blanks and the characters up to the next blank); no piece crosses such a
-border, so the best segmentation of a text is that of its words.
-
-1. ``distinct words`` of the corpus are counted once (partial counts per task).
-2. ``lattice``: every word's substrings up to the longest piece's length are
-   exploded and equi-joined with the piece table; the matching edges are
-   grouped by word and a higher-order aggregate folds Viterbi over them:
-   the best score of each position, then the best path backwards. A character
-   without a piece is an edge of its UTF-8 byte pieces at the unknown score.
-3. ``encode``: the ``FREQUENT`` most frequent words go to the executors as a
-   dictionary of bounded size. A document becomes the list of its words'
-   numbers; its other words are joined with the encoded words by a shuffled
-   join on the word and come back grouped by document, so nothing depends on
-   the vocabulary's size.
+score). A text, with a blank put before it, is cut into words wherever two
+neighbouring characters stand side by side in no piece at all: no piece
+crosses such a border, so the best segmentation of the text is that of its
+words. (A blank after another character is always such a border.)
+
+1. ``edges``: the substrings of words up to the longest piece's length are
+   exploded and equi-joined with the piece table, on a 64-bit key and then on
+   the characters, and the matches are grouped by word and end position. This
+   runs on whole Arrow batches of words. A character without a piece is an
+   edge of its UTF-8 byte pieces at the unknown score.
+2. ``best_path``: a Spark higher-order aggregate folds Viterbi over the
+   positions, and a second one walks the best path backwards.
+3. ``encode``: the ``frequent`` most frequent words of the corpus are encoded
+   once and sent to the executors as a dictionary of bounded size. A
+   document's other words bring their lattice along in the document's row and
+   are folded there, so documents are never shuffled and nothing depends on
+   the vocabulary's size. Which words are in the dictionary changes no result.
 4. ``decode`` concatenates the pieces' bytes: an exact inverse for every text.
 
 Scores: a unigram model's own; for another model type (merge ranks) the
@@ -25,8 +27,8 @@ score minus 10, as in SentencePiece. Equal paths: the longer last piece wins.
 Defined results
 * null or empty text: no pieces; decodes to the empty text. Null id: encoded.
 * a literal U+2581 or a control text such as ``<s>`` is text: bytes or pieces.
-* very long words: Viterbi keeps one score and one back pointer a character;
-  a word of n characters copies them n times.
+* very long words: the fold keeps one entry a character; a word of n
+  characters copies its entries n times.
 * repeated rows and ids: every input row gives one output row.
 * extra columns: only id and text are read. Empty table: no rows.
 """
@@ -34,25 +36,27 @@ Defined results
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quarry.llm.common import prepared, stage
+from quarry.llm.common import U64, groups, prepared
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-FREQUENT = 1 << 18
+#: Words of the dictionary sent to the executors.
+FREQUENT = 1 << 19
+#: Distinct words a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
 UNKNOWN_PENALTY = 10.0
-#: Largest piece table that is broadcast; a larger one is joined by a shuffle.
-BROADCAST_PIECES = 1_000_000
-WORDS = re.compile(r" +[^ ]*")
+#: Bytes of text, and words, whose lattices are made at a time.
+TEXT_BYTES = 1 << 20
+WORDS_AT_ONCE = 5_000
+KEY = U64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -84,10 +88,6 @@ class PieceTable:
         return cls(normal, [byte_ids[b] for b in range(256)], max(len(p) for p, _, _ in normal),
                    min(s for _, _, s in normal) - UNKNOWN_PENALTY)
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        rows = spark.createDataFrame(self.pieces, "piece string, id int, score double")
-        return F.broadcast(rows) if len(self.pieces) <= BROADCAST_PIECES else rows
-
     def spelled(self) -> list[bytes]:
         """Bytes of every id."""
         out = [b""] * (1 + max(max(i for _, i, _ in self.pieces), max(self.bytes_at)))
@@ -98,98 +98,180 @@ class PieceTable:
         return out
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n): the distinct words of the corpus."""
+class Cutter:
+    """Cuts texts at pairs of characters that no piece holds side by side."""
+
+    def __init__(self, table: PieceTable):
+        chars = sorted({c for p, _, _ in table.pieces for c in p})
+        self.number = np.zeros(0x110000, dtype=np.int32)  # 0: in no piece
+        self.number[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), dtype=bool)
+        for p, _, _ in table.pieces:
+            n = self.number[[ord(c) for c in p]]
+            self.joined[n[:-1], n[1:]] = True
+
+    def words(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        text = " " + text
+        n = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        at = [0, *(np.flatnonzero(~self.joined[n[:-1], n[1:]]) + 1).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def word_counts(docs: DataFrame, table: PieceTable, text_col: str = "text") -> DataFrame:
+    """(word, n): words of the corpus, counted where they occur. A task passes on
+    the words it saw twice or more among ``COUNTED_AT_ONCE`` distinct ones; the
+    others cannot be frequent, and no result depends on these counts."""
 
     def count(batches):
-        seen: Counter[str] = Counter()
+        cutter, seen = Cutter(table), Counter()
 
         def rows():
-            return pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+            some = [(w, n) for w, n in seen.items() if n > 1]
+            return pa.record_batch([pa.array([w for w, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())],
                                    names=["word", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text:
-                    seen.update(WORDS.findall(" " + text))
-                    if len(seen) > COUNTED_AT_ONCE:
-                        yield rows()
-                        seen.clear()
+                seen.update(cutter.words(text))
+                if len(seen) > COUNTED_AT_ONCE:
+                    yield rows()
+                    seen.clear()
         yield rows()
 
     return (prepared(docs.select(text_col)).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def lattice(words: DataFrame, table: PieceTable) -> DataFrame:
-    """The other columns of ``words`` and ``ids``, the best segmentation of ``word``.
-
-    ``words`` must be distinct; if it is hash-partitioned by word, as after a
-    grouping, the edges stay where they are made.
-    """
-    n = F.length("word")
-    spans = F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(table.longest), n - i)),
-                              lambda k: F.struct((i + k).alias("e"), i.alias("s"), F.col("word").substr(i + 1, k).alias("piece")))))
-    rest = [c for c in words.columns if c != "word"]
-    edges = (words.select("word", *rest, F.explode(spans).alias("x")).select("word", *rest, "x.e", "x.s", "x.piece")
-             .join(table.frame(words.sparkSession), "piece", "left").where("id is not null or e - s = 1")
-             .groupBy("word", *rest).agg(F.array_sort(F.collect_list(F.struct(
-                 "e", "s", F.coalesce("score", F.lit(table.unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")))).alias("edges")))
-
-    def better(acc, x):
-        # positions arrive in order; scores[p] and back[p - 1] are final for p < acc.e
-        new = acc["scores"][x["s"]] + x["score"]
-        step = F.struct(x["e"].alias("e"), new.alias("score"), x["s"].alias("s"), x["id"].alias("id"))
-        return F.when(x["e"] > acc["best"]["e"], F.struct(
-            F.concat(acc["scores"], F.array(acc["best"]["score"])).alias("scores"),
-            F.concat(acc["back"], F.array(F.struct(acc["best"]["s"].alias("s"), acc["best"]["id"].alias("id")))).alias("back"),
-            F.struct(x["e"].alias("e"), (F.get(F.concat(acc["scores"], F.array(acc["best"]["score"])), x["s"]) + x["score"]).alias("score"),
-                     x["s"].alias("s"), x["id"].alias("id")).alias("best"))
-        ).otherwise(F.struct(acc["scores"].alias("scores"), acc["back"].alias("back"),
-                             F.when(new > acc["best"]["score"], step).otherwise(acc["best"]).alias("best")))
-
-    start = F.struct(F.array().cast("array<double>").alias("scores"),
-                     F.array().cast("array<struct<s:int,id:int>>").alias("back"),
-                     F.struct(F.lit(0).alias("e"), F.lit(0.0).alias("score"), F.lit(0).alias("s"), F.lit(-1).alias("id")).alias("best"))
-    byte_ids = F.array(*[F.lit(i) for i in table.bytes_at])
-
-    def path(acc):
-        return F.concat(acc["back"], F.array(F.struct(acc["best"]["s"].alias("s"), acc["best"]["id"].alias("id"))))
+EDGES = pa.list_(pa.list_(pa.struct([("s", pa.int32()), ("score", pa.float64()), ("id", pa.int32())])))
+STEPS = "array<array<struct<s:int,score:double,id:int>>>"
+
+
+class Pieces:
+    """The piece table as a relation for batches: by length, sorted keys with
+    the pieces' characters, ids and scores."""
+
+    def __init__(self, table: PieceTable):
+        self.table, self.by_length = table, {}
+        lengths: dict[int, list] = {}
+        for p, i, score in table.pieces:
+            lengths.setdefault(len(p), []).append((p, i, score))
+        for k, rows in lengths.items():
+            code = np.array([[ord(c) for c in p] for p, _, _ in rows], dtype=U64)
+            key = self.key(code.ravel(), k)[::k]
+            order = np.argsort(key, kind="stable")
+            if (np.diff(key[order]) == 0).any():
+                raise ValueError("two pieces share a key")
+            self.by_length[k] = (key[order], code[order], np.array([r[1] for r in rows], np.int32)[order],
+                                 np.array([r[2] for r in rows])[order])
+
+    @staticmethod
+    def key(code: np.ndarray, k: int) -> np.ndarray:
+        """Key of the k characters from each place on (those that fit)."""
+        n = len(code) - k + 1
+        out = np.zeros(n, dtype=U64)
+        for j in range(k):
+            out = (out ^ code[j:j + n]) * KEY
+            out ^= out >> U64(29)
+        return out
 
-    def backwards(back):
-        state = F.struct(F.size(back).alias("at"), F.array().cast("array<struct<s:int,id:int>>").alias("steps"))
+    def edges(self, words: list[str]) -> pa.Array:
+        """Per word, per end position, the edges (start, score, id) that end there, by start."""
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(U64)
+        offset = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
+        last = np.repeat(offset[1:], np.diff(offset))
+        first = np.repeat(offset[:-1], np.diff(offset))
+        starts, ends, scores, ids = [], [], [], []
+        for k, (keys, chars, piece_ids, piece_scores) in self.by_length.items():
+            if k > len(code):
+                continue
+            place = np.flatnonzero(np.arange(len(code) - k + 1) + k <= last[:len(code) - k + 1])  # inside one word
+            key = self.key(code, k)[place]
+            row = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[row] == key
+            place, row = place[hit], row[hit]
+            same = np.ones(len(place), dtype=bool)
+            for j in range(k):
+                same &= code[place + j] == chars[row, j]
+            place, row = place[same], row[same]
+            starts.append(place)
+            ends.append(place + k)
+            scores.append(piece_scores[row])
+            ids.append(piece_ids[row])
+        single = np.zeros(len(code), dtype=bool)
+        for s, e in zip(starts, ends, strict=True):
+            if len(s) and e[0] - s[0] == 1:
+                single[s] = True
+        lone = np.flatnonzero(~single)  # characters without a piece
+        starts.append(lone)
+        ends.append(lone + 1)
+        scores.append(np.full(len(lone), self.table.unknown))
+        ids.append(np.full(len(lone), -1, np.int32))
+        start, end = np.concatenate(starts), np.concatenate(ends)
+        order = np.lexsort((start, end))
+        edge = pa.StructArray.from_arrays(
+            [pa.array((start - first[start])[order].astype(np.int32)), pa.array(np.concatenate(scores)[order]),
+             pa.array(np.concatenate(ids)[order].astype(np.int32))], names=["s", "score", "id"])
+        per_end = np.concatenate(([0], np.cumsum(np.bincount(end - 1, minlength=len(code)))))
+        inner = pa.ListArray.from_arrays(pa.array(per_end.astype(np.int32)), edge)
+        return pa.ListArray.from_arrays(pa.array(offset.astype(np.int32)), inner)
+
+
+def best_path(word: Column, steps: Column, table: PieceTable) -> Column:
+    """ids of the best segmentation of ``word`` from its edges: Viterbi as a fold
+    over the end positions, then the way back."""
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("t"), F.lit(-1).alias("id")))
+
+    def position(best: Column, edges: Column) -> Column:
+        # of equal scores the smaller start (the larger -s), so the longer piece
+        return F.concat(best, F.array(F.array_max(F.transform(edges, lambda x: F.struct(
+            (best[x["s"]]["score"] + x["score"]).alias("score"), (-x["s"]).alias("t"), x["id"].alias("id"))))))
+
+    def way_back(best: Column) -> Column:
+        state = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<struct<s:int,id:int>>").alias("path"))
         return F.reverse(F.aggregate(
-            F.sequence(F.size(back), F.lit(1)), state,
-            lambda a, p: F.when(a["at"] == p, F.struct(back[p - 1]["s"].alias("at"), F.concat(a["steps"], F.array(back[p - 1])).alias("steps")))
-            .otherwise(a),
-            lambda a: a["steps"]))
+            F.sequence(F.size(best) - 1, F.lit(1)), state,
+            lambda a, p: F.when(a["at"] == p, F.struct((-best[p]["t"]).alias("at"), F.concat(a["path"], F.array(
+                F.struct((-best[p]["t"]).alias("s"), best[p]["id"].alias("id")))).alias("path"))).otherwise(a),
+            lambda a: a["path"]))
 
-    def spelled(step):
-        code = F.hex(F.encode(F.col("word").substr(step["s"] + 1, F.lit(1)), "utf-8"))
+    byte_ids = F.array(*[F.lit(i) for i in table.bytes_at])
+
+    def bytes_of(step: Column) -> Column:
+        code = F.hex(F.encode(word.substr(step["s"] + 1, F.lit(1)), "utf-8"))
         return F.when(step["id"] >= 0, F.array(step["id"])).otherwise(F.transform(
             F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")),
             lambda b: byte_ids[F.conv(code.substr((2 * b + 1).cast("int"), F.lit(2)), 16, 10).cast("int")]))
 
-    # the first step passes on the start (position 0), which has no way back
-    return (edges.withColumn("back", F.aggregate("edges", start, better, path))
-            .withColumn("back", F.expr("slice(back, 2, size(back))"))
-            .withColumn("steps", backwards(F.col("back")))
-            .select("word", *rest, F.flatten(F.transform("steps", spelled)).alias("ids")))
+    path = F.aggregate(steps, start, position, way_back)
+    # one-element transforms bind the path once
+    return F.transform(F.array(path), lambda p: F.when(F.forall(p, lambda x: x["id"] >= 0), F.transform(p, lambda x: x["id"]))
+                       .otherwise(F.flatten(F.transform(p, bytes_of))))[0]
 
 
-ROW = "doc_id long, text_key long, n_words long, numbers binary, rare array<string>"
-OUT = "doc_id long, n_words long, n_pieces long, ids array<int>, text_key long"
+def lattice(words: DataFrame, table: PieceTable) -> DataFrame:
+    """(word, ids): the best segmentation of every ``word``."""
 
+    def explode(batches):
+        pieces = Pieces(table)
+        for batch in batches:
+            column = batch.column(0)
+            for lo in range(0, len(column), WORDS_AT_ONCE):
+                part = column.slice(lo, WORDS_AT_ONCE)
+                yield pa.record_batch([part, pieces.edges(part.to_pylist())], names=["word", "steps"])
+
+    edges = prepared(words.select("word").where("word <> ''")).mapInArrow(explode, f"word string, steps {STEPS}")
+    return edges.select("word", best_path(F.col("word"), F.col("steps"), table).alias("ids"))
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """int32 values as four byte planes, which compress well in a shuffle."""
-    return np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+NUMBERED = f"doc_id long, text_key long, numbers binary, rare array<struct<word:string,steps:{STEPS}>>"
+OUT = "doc_id long, n_words long, n_pieces long, ids array<int>, text_key long"
 
 
-def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+def _gathered(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (size of them) for every entry, one after another."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
 def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col: str = "text",
@@ -198,82 +280,87 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
                        F.col(text_col).alias("text"))
-    encoded = stage(lattice(word_counts(rows), table), "pieces-words")
-    common = encoded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow().combine_chunks()
+    top = word_counts(rows, table).orderBy(F.desc("n"), "word").limit(frequent).select("word")
+    parts = spark.sparkContext.defaultParallelism * 4
+    common = lattice(top.repartition(parts), table).toArrow().combine_chunks()  # at most ``frequent`` rows
     lists = common["ids"].combine_chunks() if common.num_rows else pa.array([], pa.list_(pa.int32()))
-    sent = spark.sparkContext.broadcast((
-        {w: k for k, w in enumerate(common["word"].to_pylist())},
+    sent_words = spark.sparkContext.broadcast(common["word"].to_pylist())
+    sent_ids = spark.sparkContext.broadcast((
         np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64),
         lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
     def number(batches):
-        known = sent.value[0]
+        known = {w: k for k, w in enumerate(sent_words.value)}
+        cutter, pieces = Cutter(table), Pieces(table)
         for batch in batches:
-            numbers, rare, sizes = [], [], []
-            for text in batch["text"].to_pylist():
-                words = WORDS.findall(" " + text) if text else []
-                own: dict[str, int] = {}
-                # a frequent word's number, or -1, -2, ... for the document's other words
-                found = [known[w] if w in known else -1 - own.setdefault(w, len(own)) for w in words]
-                numbers.append(_planes(np.array(found, dtype=np.int32)))
-                rare.append(list(own))
-                sizes.append(len(words))
-            yield pa.record_batch([batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()),
-                                   pa.array(numbers, pa.binary()), pa.array(rare, pa.list_(pa.string()))],
-                                  names=["doc_id", "text_key", "n_words", "numbers", "rare"])
-
-    numbered = stage(prepared(rows).mapInArrow(number, ROW), "pieces-numbers")
-    key = F.coalesce("doc_id", F.lit(-1)).alias("key")
-    others = (numbered.select(key, "text_key", F.posexplode("rare").alias("at", "word")).distinct()
-              .join(encoded.select("word", "ids"), "word")
-              .groupBy("key", "text_key").agg(F.collect_list(F.struct("at", "ids")).alias("others")))
-    joined = numbered.select("doc_id", key, "text_key", "n_words", "numbers").join(others, ["key", "text_key"], "left") \
-        .select("doc_id", "text_key", "n_words", "numbers", "others")
+            texts = batch["text"].to_pylist()
+            for lo, hi in groups(texts, TEXT_BYTES):
+                numbers, rare, sizes = [], [], []
+                for text in texts[lo:hi]:
+                    own: dict[str, int] = {}
+                    # a frequent word's number, or -1, -2, ... for the document's other words
+                    found = [known[w] if w in known else -1 - own.setdefault(w, len(own)) for w in cutter.words(text)]
+                    numbers.append(np.array(found, dtype=np.int32).tobytes())
+                    rare.extend(own)
+                    sizes.append(len(own))
+                words = pa.StructArray.from_arrays([pa.array(rare, pa.string()), pieces.edges(rare)], names=["word", "steps"])
+                yield pa.record_batch([
+                    batch["doc_id"].slice(lo, hi - lo), batch["text_key"].slice(lo, hi - lo), pa.array(numbers, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), words)],
+                    names=["doc_id", "text_key", "numbers", "rare"])
+
+    folded = prepared(rows).mapInArrow(number, NUMBERED).select(
+        "doc_id", "text_key", "numbers", F.transform("rare", lambda r: best_path(r["word"], r["steps"], table)).alias("own"))
 
     def assemble(batches):
-        _, offset, flat = sent.value
+        offset, flat = sent_ids.value
         for batch in batches:
-            ids = []
-            for planes, others in zip(batch["numbers"], batch["others"], strict=True):
-                numbers = _numbers(planes.as_buffer())
+            own = batch["own"]
+            words = own.flatten()
+            word_at = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+            sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = np.cumsum(sizes) - sizes
+            values = words.flatten().to_numpy(zero_copy_only=False)
+            ids, n_words = [], []
+            for i, raw in enumerate(batch["numbers"]):
+                numbers = np.frombuffer(raw.as_buffer(), dtype=np.int32)
                 known = numbers >= 0
                 a = np.empty(len(numbers), dtype=np.int64)
                 size = np.empty(len(numbers), dtype=np.int64)
                 a[known] = offset[numbers[known]]
                 size[known] = offset[numbers[known] + 1] - a[known]
-                values = np.empty(0, np.int32)
-                if others.is_valid:
-                    order = np.argsort(others.values.field(0).to_numpy())
-                    lists = others.values.field(1)
-                    lo, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-                    own = order[-1 - numbers[~known]]
-                    a[~known], size[~known] = lo[own], lo[own + 1] - lo[own]
-                # places a, a + 1, ... of every word's pieces, one word after another
-                place = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                of_known = np.repeat(known, size)
+                mine = word_at[i] - 1 - numbers[~known]
+                a[~known], size[~known] = starts[mine], sizes[mine]
+                place, of_known = _gathered(a, size), np.repeat(known, size)
                 out = np.empty(len(place), dtype=np.int32)
                 out[of_known] = flat[place[of_known]]
                 out[~of_known] = values[place[~of_known]]
                 ids.append(out)
+                n_words.append(len(numbers))
             lens = [len(x) for x in ids]
             yield pa.record_batch([
-                batch["doc_id"], batch["n_words"], pa.array(lens, pa.int64()),
+                batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(lens, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lens))).astype(np.int32)),
-                                         pa.array(np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32))),
+                                         pa.array(np.concatenate([np.empty(0, np.int32), *ids]))),
                 batch["text_key"]], names=["doc_id", "n_words", "n_pieces", "ids", "text_key"])
 
-    return prepared(joined).mapInArrow(assemble, OUT)
+    return folded.mapInArrow(assemble, OUT)
 
 
 def decode(encoded: DataFrame, table: PieceTable, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with a column ``decoded``: the text its ids spell."""
-    spelled = table.spelled()
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def spell(batches):
+        spelled = table.spelled()
+        flat = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        size = np.array([len(x) for x in spelled])
+        start = np.cumsum(size) - size
         for batch in batches:
-            texts = [b"".join([spelled[i] for i in ids or []])[1:].decode("utf-8", "replace")
-                     for ids in batch[ids_col].to_pylist()]
+            texts = []
+            for ids in batch[ids_col]:
+                n = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.empty(0, np.int32)
+                texts.append(flat[_gathered(start[n], size[n])].tobytes()[1:].decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return prepared(encoded).mapInArrow(spell, schema)
