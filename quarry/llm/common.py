@@ -13,6 +13,8 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,6 +143,18 @@ def groups(texts: list[str | None], limit: int = GROUP_BYTES):
         yield lo, len(texts)
 
 
+def text_groups(column: pa.Array, limit: int):
+    """(first row, texts) for slices of about ``limit`` bytes of a string column,
+    one text at least; only one slice at a time is turned into Python strings."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    lo = 0
+    while lo < len(column):
+        done = size[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(size, done + limit, "right")))
+        yield lo, column.slice(lo, hi - lo).to_pylist()
+        lo = hi
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 

@@ -45,11 +45,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quarry.llm.common import U64, groups, prepared
+from quarry.llm.common import U64, prepared, text_groups
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of the dictionary sent to the executors.
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
 #: Distinct words a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
 UNKNOWN_PENALTY = 10.0
@@ -133,8 +133,9 @@ def word_counts(docs: DataFrame, table: PieceTable, text_col: str = "text") -> D
                                    names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(cutter.words(text))
+            for _, texts in text_groups(batch.column(0), TEXT_BYTES):
+                for text in texts:
+                    seen.update(cutter.words(text))
                 if len(seen) > COUNTED_AT_ONCE:
                     yield rows()
                     seen.clear()
@@ -275,8 +276,9 @@ def _gathered(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col: str = "text",
-           frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, n_words, n_pieces, ids, text_key) for every row of ``docs``."""
+           frequent: int = FREQUENT, decoded: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_pieces, ids, text_key) for every row of ``docs``; with
+    ``decoded`` also the text that the ids spell, made in the same pass."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
                        F.col(text_col).alias("text"))
@@ -293,10 +295,9 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
         known = {w: k for k, w in enumerate(sent_words.value)}
         cutter, pieces = Cutter(table), Pieces(table)
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            for lo, hi in groups(texts, TEXT_BYTES):
+            for lo, texts in text_groups(batch["text"], TEXT_BYTES):
                 numbers, rare, sizes = [], [], []
-                for text in texts[lo:hi]:
+                for text in texts:
                     own: dict[str, int] = {}
                     # a frequent word's number, or -1, -2, ... for the document's other words
                     found = [known[w] if w in known else -1 - own.setdefault(w, len(own)) for w in cutter.words(text)]
@@ -305,7 +306,7 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
                     sizes.append(len(own))
                 words = pa.StructArray.from_arrays([pa.array(rare, pa.string()), pieces.edges(rare)], names=["word", "steps"])
                 yield pa.record_batch([
-                    batch["doc_id"].slice(lo, hi - lo), batch["text_key"].slice(lo, hi - lo), pa.array(numbers, pa.binary()),
+                    batch["doc_id"].slice(lo, len(texts)), batch["text_key"].slice(lo, len(texts)), pa.array(numbers, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), words)],
                     names=["doc_id", "text_key", "numbers", "rare"])
 
@@ -314,6 +315,7 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
 
     def assemble(batches):
         offset, flat = sent_ids.value
+        speller = Speller(table) if decoded else None
         for batch in batches:
             own = batch["own"]
             words = own.flatten()
@@ -338,13 +340,28 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
                 ids.append(out)
                 n_words.append(len(numbers))
             lens = [len(x) for x in ids]
+            texts = [pa.array([speller.text(x) for x in ids], pa.string())] if decoded else []
             yield pa.record_batch([
                 batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(lens, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lens))).astype(np.int32)),
                                          pa.array(np.concatenate([np.empty(0, np.int32), *ids]))),
-                batch["text_key"]], names=["doc_id", "n_words", "n_pieces", "ids", "text_key"])
+                batch["text_key"], *texts], names=["doc_id", "n_words", "n_pieces", "ids", "text_key", "decoded"][:5 + decoded])
 
-    return folded.mapInArrow(assemble, OUT)
+    return folded.mapInArrow(assemble, OUT + (", decoded string" if decoded else ""))
+
+
+class Speller:
+    """Bytes of all pieces in one array, to spell ids by gathering."""
+
+    def __init__(self, table: PieceTable):
+        spelled = table.spelled()
+        self.flat = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        self.size = np.array([len(x) for x in spelled])
+        self.start = np.cumsum(self.size) - self.size
+
+    def text(self, ids: np.ndarray) -> str:
+        """The text without the blank put before it."""
+        return self.flat[_gathered(self.start[ids], self.size[ids])].tobytes()[1:].decode("utf-8", "replace")
 
 
 def decode(encoded: DataFrame, table: PieceTable, ids_col: str = "ids") -> DataFrame:
@@ -352,15 +369,9 @@ def decode(encoded: DataFrame, table: PieceTable, ids_col: str = "ids") -> DataF
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def spell(batches):
-        spelled = table.spelled()
-        flat = np.frombuffer(b"".join(spelled), dtype=np.uint8)
-        size = np.array([len(x) for x in spelled])
-        start = np.cumsum(size) - size
+        speller, nothing = Speller(table), np.empty(0, np.int32)
         for batch in batches:
-            texts = []
-            for ids in batch[ids_col]:
-                n = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.empty(0, np.int32)
-                texts.append(flat[_gathered(start[n], size[n])].tobytes()[1:].decode("utf-8", "replace"))
+            texts = [speller.text(ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else nothing) for ids in batch[ids_col]]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return prepared(encoded).mapInArrow(spell, schema)
@@ -369,5 +380,5 @@ def decode(encoded: DataFrame, table: PieceTable, ids_col: str = "ids") -> DataF
 def round_trip(docs: DataFrame, path: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_words, n_pieces, ids, exact): exact if the ids decode to the very text."""
     table = PieceTable.load(path)
-    return decode(encode(docs, table, frequent=frequent), table).select(
+    return encode(docs, table, frequent=frequent, decoded=True).select(
         "doc_id", "n_words", "n_pieces", "ids", (F.xxhash64("decoded") == F.col("text_key")).alias("exact"))
