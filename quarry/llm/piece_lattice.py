@@ -49,13 +49,15 @@ from quarry.llm.common import U64, prepared, text_groups
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of the dictionary sent to the executors.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 19
 #: Distinct words a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
 UNKNOWN_PENALTY = 10.0
 #: Bytes of text, and words, whose lattices are made at a time.
 TEXT_BYTES = 1 << 20
 WORDS_AT_ONCE = 5_000
+#: Documents put together at a time.
+ROWS_AT_ONCE = 200
 KEY = U64(0x9E3779B97F4A7C15)
 
 
@@ -150,32 +152,46 @@ STEPS = "array<array<struct<s:int,score:double,id:int>>>"
 
 
 class Pieces:
-    """The piece table as a relation for batches: by length, sorted keys with
-    the pieces' characters, ids and scores."""
+    """The piece table as a relation for batches: by length, a bit table of the
+    keys that pieces or their beginnings have, and the pieces' sorted keys with
+    characters, ids and scores."""
+
+    BITS = 18
 
     def __init__(self, table: PieceTable):
         self.table, self.by_length = table, {}
-        lengths: dict[int, list] = {}
+        whole: dict[int, list] = {}
+        begun: dict[int, set] = {}
         for p, i, score in table.pieces:
-            lengths.setdefault(len(p), []).append((p, i, score))
-        for k, rows in lengths.items():
-            code = np.array([[ord(c) for c in p] for p, _, _ in rows], dtype=U64)
-            key = self.key(code.ravel(), k)[::k]
+            whole.setdefault(len(p), []).append((p, i, score))
+            for k in range(1, len(p) + 1):
+                begun.setdefault(k, set()).add(p[:k])
+        for k in range(1, table.longest + 1):
+            maybe = np.zeros(1 << self.BITS, dtype=bool)
+            maybe[self.slot(self.keys_of(sorted(begun[k])))] = True
+            rows = whole.get(k, [])
+            key = self.keys_of([p for p, _, _ in rows])
             order = np.argsort(key, kind="stable")
             if (np.diff(key[order]) == 0).any():
                 raise ValueError("two pieces share a key")
-            self.by_length[k] = (key[order], code[order], np.array([r[1] for r in rows], np.int32)[order],
+            code = np.array([[ord(c) for c in p] for p, _, _ in rows], dtype=U64).reshape(len(rows), k)
+            self.by_length[k] = (maybe, key[order], code[order], np.array([r[1] for r in rows], np.int32)[order],
                                  np.array([r[2] for r in rows])[order])
 
     @staticmethod
-    def key(code: np.ndarray, k: int) -> np.ndarray:
-        """Key of the k characters from each place on (those that fit)."""
-        n = len(code) - k + 1
-        out = np.zeros(n, dtype=U64)
-        for j in range(k):
-            out = (out ^ code[j:j + n]) * KEY
-            out ^= out >> U64(29)
-        return out
+    def longer(key: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Keys of strings that go on with the characters ``code``."""
+        key = (key ^ code) * KEY
+        return key ^ (key >> U64(29))
+
+    def keys_of(self, strings: list[str]) -> np.ndarray:
+        key = np.zeros(len(strings), dtype=U64)
+        for j in range(len(strings[0]) if strings else 0):
+            key = self.longer(key, np.array([ord(x[j]) for x in strings], dtype=U64))
+        return key
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return (key >> U64(64 - self.BITS)).astype(np.int64)
 
     def edges(self, words: list[str]) -> pa.Array:
         """Per word, per end position, the edges (start, score, id) that end there, by start."""
@@ -184,26 +200,30 @@ class Pieces:
         last = np.repeat(offset[1:], np.diff(offset))
         first = np.repeat(offset[:-1], np.diff(offset))
         starts, ends, scores, ids = [], [], [], []
-        for k, (keys, chars, piece_ids, piece_scores) in self.by_length.items():
-            if k > len(code):
+        place, key = np.arange(len(code)), np.zeros(len(code), dtype=U64)
+        single = np.zeros(len(code), dtype=bool)
+        for k, (maybe, keys, chars, piece_ids, piece_scores) in self.by_length.items():
+            # substrings of length k, inside one word, that begin like some piece
+            inside = place + k <= last[place]
+            place = place[inside]
+            key = self.longer(key[inside], code[place + k - 1])
+            goes_on = maybe[self.slot(key)]
+            place, key = place[goes_on], key[goes_on]
+            if not len(keys) or not len(place):
                 continue
-            place = np.flatnonzero(np.arange(len(code) - k + 1) + k <= last[:len(code) - k + 1])  # inside one word
-            key = self.key(code, k)[place]
             row = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             hit = keys[row] == key
-            place, row = place[hit], row[hit]
-            same = np.ones(len(place), dtype=bool)
+            at, row = place[hit], row[hit]
+            same = np.ones(len(at), dtype=bool)
             for j in range(k):
-                same &= code[place + j] == chars[row, j]
-            place, row = place[same], row[same]
-            starts.append(place)
-            ends.append(place + k)
+                same &= code[at + j] == chars[row, j]
+            at, row = at[same], row[same]
+            if k == 1:
+                single[at] = True
+            starts.append(at)
+            ends.append(at + k)
             scores.append(piece_scores[row])
             ids.append(piece_ids[row])
-        single = np.zeros(len(code), dtype=bool)
-        for s, e in zip(starts, ends, strict=True):
-            if len(s) and e[0] - s[0] == 1:
-                single[s] = True
         lone = np.flatnonzero(~single)  # characters without a piece
         starts.append(lone)
         ends.append(lone + 1)
@@ -300,7 +320,8 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
                 for text in texts:
                     own: dict[str, int] = {}
                     # a frequent word's number, or -1, -2, ... for the document's other words
-                    found = [known[w] if w in known else -1 - own.setdefault(w, len(own)) for w in cutter.words(text)]
+                    found = [-1 - own.setdefault(w, len(own)) if k is None else k
+                             for w in cutter.words(text) for k in (known.get(w),)]
                     numbers.append(np.array(found, dtype=np.int32).tobytes())
                     rare.extend(own)
                     sizes.append(len(own))
@@ -317,35 +338,33 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
         offset, flat = sent_ids.value
         speller = Speller(table) if decoded else None
         for batch in batches:
-            own = batch["own"]
-            words = own.flatten()
-            word_at = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-            sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            starts = np.cumsum(sizes) - sizes
-            values = words.flatten().to_numpy(zero_copy_only=False)
-            ids, n_words = [], []
-            for i, raw in enumerate(batch["numbers"]):
-                numbers = np.frombuffer(raw.as_buffer(), dtype=np.int32)
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(lo, ROWS_AT_ONCE)
+                raw = part["numbers"].to_pylist()
+                n_words = np.array([len(x) // 4 for x in raw], dtype=np.int64)
+                numbers = np.frombuffer(b"".join(raw), dtype=np.int32)
+                own = part["own"]
+                words = own.flatten()
+                sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                starts, values = np.cumsum(sizes) - sizes, words.flatten().to_numpy(zero_copy_only=False)
+                counts = own.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 known = numbers >= 0
-                a = np.empty(len(numbers), dtype=np.int64)
-                size = np.empty(len(numbers), dtype=np.int64)
+                a, size = np.empty(len(numbers), dtype=np.int64), np.empty(len(numbers), dtype=np.int64)
                 a[known] = offset[numbers[known]]
                 size[known] = offset[numbers[known] + 1] - a[known]
-                mine = word_at[i] - 1 - numbers[~known]
+                # -1, -2, ... count from the document's first own word
+                mine = np.repeat(np.cumsum(counts) - counts, n_words)[~known] - 1 - numbers[~known]
                 a[~known], size[~known] = starts[mine], sizes[mine]
                 place, of_known = _gathered(a, size), np.repeat(known, size)
-                out = np.empty(len(place), dtype=np.int32)
-                out[of_known] = flat[place[of_known]]
-                out[~of_known] = values[place[~of_known]]
-                ids.append(out)
-                n_words.append(len(numbers))
-            lens = [len(x) for x in ids]
-            texts = [pa.array([speller.text(x) for x in ids], pa.string())] if decoded else []
-            yield pa.record_batch([
-                batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(lens, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lens))).astype(np.int32)),
-                                         pa.array(np.concatenate([np.empty(0, np.int32), *ids]))),
-                batch["text_key"], *texts], names=["doc_id", "n_words", "n_pieces", "ids", "text_key", "decoded"][:5 + decoded])
+                ids = np.empty(len(place), dtype=np.int32)
+                ids[of_known] = flat[place[of_known]]
+                ids[~of_known] = values[place[~of_known]]
+                ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]
+                texts = [pa.array([speller.text(ids[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.string())] if decoded else []
+                yield pa.record_batch([
+                    part["doc_id"], pa.array(n_words), pa.array(np.diff(ends)),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)), part["text_key"], *texts],
+                    names=["doc_id", "n_words", "n_pieces", "ids", "text_key", "decoded"][:5 + decoded])
 
     return folded.mapInArrow(assemble, OUT + (", decoded string" if decoded else ""))
 
