@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quarry.llm.common import U64, prepared, text_groups
+from quarry.llm.common import U64, mix, powers, prepared, text_groups
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of the dictionary sent to the executors.
@@ -112,13 +112,39 @@ class Cutter:
             n = self.number[[ord(c) for c in p]]
             self.joined[n[:-1], n[1:]] = True
 
-    def words(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        text = " " + text
-        n = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-        at = [0, *(np.flatnonzero(~self.joined[n[:-1], n[1:]]) + 1).tolist(), len(text)]
-        return [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    def words(self, texts: list[str | None]) -> CutWords:
+        """The words of a few texts, each with a blank put before it."""
+        joined = "".join(" " + t for t in texts if t)
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], dtype=np.int64)
+        edge = np.concatenate(([0], np.cumsum(sizes)))
+        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        n = self.number[code]
+        cut = np.ones(len(code), dtype=bool)
+        cut[1:] = ~self.joined[n[:-1], n[1:]]
+        cut[edge[:-1][sizes > 0]] = True
+        start = np.flatnonzero(cut)
+        length = np.diff(np.concatenate((start, [len(code)])))
+        up, down = powers(len(code))
+        acc = np.concatenate((np.zeros(1, U64), np.cumsum((code.astype(U64) + U64(1)) * up[:len(code)], dtype=U64)))
+        key = mix((acc[start + length] - acc[start]) * down[start] + length.astype(U64))
+        _, at, which = np.unique(key, return_index=True, return_inverse=True)
+        if len(start):
+            like = start[at][which]
+            same = (length[at][which] == length).all() and (code[_gathered(like, length)] == code).all()
+            if not same:  # two words share a key: tell them apart as strings
+                spelled = [joined[x:x + k] for x, k in zip(start.tolist(), length.tolist(), strict=True)]
+                _, at, which = np.unique(np.array(spelled, dtype=object), return_index=True, return_inverse=True)
+        words = [joined[x:x + k] for x, k in zip(start[at].tolist(), length[at].tolist(), strict=True)]
+        return CutWords(words, which, np.searchsorted(start, edge))
+
+
+@dataclass(frozen=True)
+class CutWords:
+    """Distinct words; ``which`` word stands where; text i has the places first[i]:first[i + 1]."""
+
+    words: list[str]
+    which: np.ndarray
+    first: np.ndarray
 
 
 def word_counts(docs: DataFrame, table: PieceTable, text_col: str = "text") -> DataFrame:
@@ -136,8 +162,9 @@ def word_counts(docs: DataFrame, table: PieceTable, text_col: str = "text") -> D
 
         for batch in batches:
             for _, texts in text_groups(batch.column(0), TEXT_BYTES):
-                for text in texts:
-                    seen.update(cutter.words(text))
+                cut = cutter.words(texts)
+                for w, n in zip(cut.words, np.bincount(cut.which, minlength=len(cut.words)).tolist(), strict=True):
+                    seen[w] += n
                 if len(seen) > COUNTED_AT_ONCE:
                     yield rows()
                     seen.clear()
@@ -316,15 +343,17 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
         cutter, pieces = Cutter(table), Pieces(table)
         for batch in batches:
             for lo, texts in text_groups(batch["text"], TEXT_BYTES):
-                numbers, rare, sizes = [], [], []
-                for text in texts:
-                    own: dict[str, int] = {}
-                    # a frequent word's number, or -1, -2, ... for the document's other words
-                    found = [-1 - own.setdefault(w, len(own)) if k is None else k
-                             for w in cutter.words(text) for k in (known.get(w),)]
-                    numbers.append(np.array(found, dtype=np.int32).tobytes())
-                    rare.extend(own)
-                    sizes.append(len(own))
+                cut = cutter.words(texts)
+                number_of = np.array([known.get(w, -1) for w in cut.words], dtype=np.int32)
+                numbers = number_of[cut.which] if len(cut.which) else np.empty(0, np.int32)
+                # a document's other words become -1, -2, ...: distinct (text, word) pairs, counted by text
+                doc = np.repeat(np.arange(len(texts)), np.diff(cut.first))
+                other = np.flatnonzero(numbers < 0)
+                pair, place = np.unique(doc[other] * np.int64(len(cut.words) + 1) + cut.which[other], return_inverse=True)
+                sizes = np.bincount(pair // (len(cut.words) + 1), minlength=len(texts))
+                numbers[other] = -1 - (place - (np.cumsum(sizes) - sizes)[doc[other]])
+                rare = [cut.words[k] for k in (pair % (len(cut.words) + 1)).tolist()]
+                numbers = [numbers[x:y].tobytes() for x, y in zip(cut.first[:-1].tolist(), cut.first[1:].tolist(), strict=True)]
                 words = pa.StructArray.from_arrays([pa.array(rare, pa.string()), pieces.edges(rare)], names=["word", "steps"])
                 yield pa.record_batch([
                     batch["doc_id"].slice(lo, len(texts)), batch["text_key"].slice(lo, len(texts)), pa.array(numbers, pa.binary()),

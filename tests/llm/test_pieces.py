@@ -82,3 +82,15 @@ def test_long_word(spark, table):
     word = "".join(rnd.choice("abcdeé") for _ in range(3000))
     r = pl.round_trip(spark.createDataFrame([(1, word)], "doc_id long, text string")).first()
     assert r.exact and path_score(table, r.ids) == pytest.approx(brute(table, word))
+
+
+def test_words_are_told_apart_when_keys_collide(table, monkeypatch):
+    texts = ["the cat the dog", None, "", "a  b ▁c日本", "the cat "]
+    cutter = pl.Cutter(table)
+    plain = cutter.words(texts)
+    monkeypatch.setattr(pl, "mix", lambda x: x * pl.U64(0))
+    worst = cutter.words(texts)
+    assert [plain.words[k] for k in plain.which] == [worst.words[k] for k in worst.which]
+    assert list(plain.first) == list(worst.first)
+    for i, t in enumerate(texts):
+        assert "".join(plain.words[k] for k in plain.which[plain.first[i]:plain.first[i + 1]]) == (" " + t if t else "")
