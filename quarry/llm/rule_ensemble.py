@@ -27,9 +27,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import count_chars, held_out, stage, word_array
@@ -96,6 +98,15 @@ def rule_column(rule: Rule) -> Column:
     return out
 
 
+def rule_hits(rule: Rule, x: np.ndarray) -> np.ndarray:
+    """Rows of a matrix of ``FEATURES`` that the rule holds for."""
+    out = np.ones(len(x), dtype=bool)
+    for c in rule:
+        v = x[:, FEATURES.index(c.feature)]
+        out &= v > c.bound if c.above else v <= c.bound
+    return out
+
+
 @dataclass
 class RuleEnsemble:
     """Weighted conjunctive rules; ``score`` compiles them into a column."""
@@ -140,35 +151,37 @@ def fit(train: DataFrame, label_col: str = "label", trees: int = 16, depth: int
     same rows in any order give the same rules."""
     # a bounded sample: sorted on the driver, so that bagging sees the same rows in every run
     rows = train.select(label_col, *FEATURES).toArrow()
-    train = train.sparkSession.createDataFrame(rows.sort_by([(c, "ascending") for c in rows.column_names])).coalesce(4).cache()
-    try:
-        return _fit(train, label_col, trees, depth, lasso, seed)
-    finally:
-        train.unpersist()
-
-
-def _fit(train: DataFrame, label_col: str, trees: int, depth: int, lasso: float, seed: int) -> RuleEnsemble:
-    counts = {int(r[0]): r[1] for r in train.groupBy(label_col).count().collect()}
-    if len(counts) < 2:
-        n, ones = sum(counts.values()), counts.get(1, 0)
-        p = (ones + 0.5) / (n + 1.0)
-        return RuleEnsemble(math.log(p / (1 - p)))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(train)
-    forest = RandomForestClassifier(labelCol=label_col, numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird",
-                                    subsamplingRate=0.7, seed=seed).fit(vectors.select("features", label_col))
+    rows = rows.sort_by([(c, "ascending") for c in rows.column_names])
+    y = rows[label_col].to_numpy().astype(float)
+    x = np.column_stack([rows[c].to_numpy() for c in FEATURES])
+    p = (y.sum() + 0.5) / (len(y) + 1.0)
+    constant = RuleEnsemble(math.log(p / (1 - p)))
+    if len(np.unique(y)) < 2:
+        return constant
+    forest = _learn(train.sparkSession, x, y, RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=seed))
     rules = forest_rules(forest)
     if not rules:  # no split helps: only the base rate is left
-        p = (counts[1] + 0.5) / (sum(counts.values()) + 1.0)
-        return RuleEnsemble(math.log(p / (1 - p)))
-    names = [f"r{i}" for i in range(len(rules))]
-    hits = train.select(label_col, *[rule_column(r).cast("double").alias(n) for r, n in zip(rules, names, strict=True)])
-    hits = VectorAssembler(inputCols=names, outputCol="features").transform(hits).select("features", label_col)
-    lr = LogisticRegression(labelCol=label_col, elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False)
-    model = lr.fit(hits)
+        return constant
+    hits = np.column_stack([rule_hits(r, x) for r in rules]).astype(float)
+    _, first = np.unique(hits, axis=1, return_index=True)  # of rules that agree on every row, the first
+    rules, hits = [rules[i] for i in sorted(first)], hits[:, sorted(first)]
+    model = _learn(train.sparkSession, hits, y, LogisticRegression(
+        elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False))
     weights = {r: float(w) for r, w in zip(rules, model.coefficients.toArray(), strict=True) if abs(w) > 1e-6}
     return RuleEnsemble(float(model.intercept), weights)
 
 
+def _learn(spark: SparkSession, x: np.ndarray, y: np.ndarray, learner):
+    """Fit a Spark ML learner on the rows of a bounded matrix."""
+    values = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(x).ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
+    data = spark.createDataFrame(pa.table({"x": values, "label": y})).coalesce(2).select(array_to_vector("x").alias("features"), "label").cache()
+    try:
+        return learner.fit(data)
+    finally:
+        data.unpersist()
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
     """Statistics and label of at most ``max_rows`` labelled documents that
     are not held out, chosen by the hash of their id."""
@@ -194,4 +207,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", ma
     """The rows of ``docs``, all columns, that score ``threshold`` or more."""
     model = fit(training_rows(docs, labels, label_col, max_rows))
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row_"))
-    return statistics(rows, keep=("row_",)).where(model.score() >= threshold).select("row_.*")
+    # exploded, or the filter would be pushed below the statistics and every
+    # rule would compute its statistics anew
+    scored = statistics(rows, keep=("row_",)).select("row_", F.explode(F.array(model.score())).alias("score_"))
+    return scored.where(F.col("score_") >= threshold).select("row_.*")
