@@ -46,7 +46,7 @@ FUNCTION_WORDS = ["a", "and", "as", "das", "de", "der", "des", "die", "el", "en"
 FEATURES = ["log_words", "word_chars", "caps", "digits", "marks", "bangs", "bars", "types", "same_as_last",
             "function_words", "line_words", "dup_lines"]
 
-MAX_ROWS = 16_000
+MAX_ROWS = 10_000
 THRESHOLD = 0.3
 
 
@@ -163,10 +163,12 @@ def fit(train: DataFrame, label_col: str = "label", trees: int = 16, depth: int
     rules = forest_rules(forest)
     if not rules:  # no split helps: only the base rate is left
         return constant
-    hits = np.column_stack([rule_hits(r, x) for r in rules]).astype(float)
-    _, first = np.unique(hits, axis=1, return_index=True)  # of rules that agree on every row, the first
-    rules, hits = [rules[i] for i in sorted(first)], hits[:, sorted(first)]
-    model = _learn(train.sparkSession, hits, y, LogisticRegression(
+    distinct: dict[bytes, tuple[Rule, np.ndarray]] = {}  # of rules that agree on every row, the first
+    for r in rules:
+        hit = rule_hits(r, x)
+        distinct.setdefault(np.packbits(hit).tobytes(), (r, hit))
+    rules, hits = zip(*distinct.values(), strict=True)
+    model = _learn(train.sparkSession, np.column_stack(hits).astype(float), y, LogisticRegression(
         elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False))
     weights = {r: float(w) for r, w in zip(rules, model.coefficients.toArray(), strict=True) if abs(w) > 1e-6}
     return RuleEnsemble(float(model.intercept), weights)
