@@ -49,15 +49,15 @@ from quarry.llm.common import U64, mix, powers, prepared, text_groups
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of the dictionary sent to the executors.
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
 #: Distinct words a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
 UNKNOWN_PENALTY = 10.0
 #: Bytes of text, and words, whose lattices are made at a time.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 WORDS_AT_ONCE = 5_000
 #: Documents put together at a time.
-ROWS_AT_ONCE = 200
+ROWS_AT_ONCE = 100
 KEY = U64(0x9E3779B97F4A7C15)
 
 
@@ -333,14 +333,13 @@ def encode(docs: DataFrame, table: PieceTable, id_col: str = "doc_id", text_col:
     parts = spark.sparkContext.defaultParallelism * 4
     common = lattice(top.repartition(parts), table).toArrow().combine_chunks()  # at most ``frequent`` rows
     lists = common["ids"].combine_chunks() if common.num_rows else pa.array([], pa.list_(pa.int32()))
-    sent_words = spark.sparkContext.broadcast(common["word"].to_pylist())
+    sent_words = spark.sparkContext.broadcast({w: k for k, w in enumerate(common["word"].to_pylist())})
     sent_ids = spark.sparkContext.broadcast((
         np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64),
         lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
     def number(batches):
-        known = {w: k for k, w in enumerate(sent_words.value)}
-        cutter, pieces = Cutter(table), Pieces(table)
+        known, cutter, pieces = sent_words.value, Cutter(table), Pieces(table)
         for batch in batches:
             for lo, texts in text_groups(batch["text"], TEXT_BYTES):
                 cut = cutter.words(texts)
