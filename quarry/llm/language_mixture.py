@@ -11,9 +11,11 @@ one at a time while the penalised likelihood
 rises. The prediction is the language with the largest proportion.
 
 The model is a matrix of ``BUCKETS`` hashed trigrams by language, of fixed
-size per language whatever the corpus; a corpus with more than ``MAX_LANGS``
-languages is refused, so what is sent to the executors is bounded
-(BUCKETS * MAX_LANGS * 8 bytes).
+size per language whatever the corpus. Up to ``MAX_LANGS`` languages it is
+sent whole (at most BUCKETS * MAX_LANGS * 8 bytes). With more languages only
+the counts above zero are kept, in blocks of buckets of about
+``BLOCK_ENTRIES`` counts; the driver makes and a task reads one block at a
+time, and the same mixture over all languages is computed from them.
 
 Defined results
 * null text or text without a letter: ``und``, score 0, no languages.
@@ -28,18 +30,24 @@ Defined results
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import held_out, prepared
+from quarry.llm.common import held_out, prepared, stage
 
 BUCKETS = 1 << 16
+#: Languages of a model that is sent as one matrix.
 MAX_LANGS = 256
+#: Counts of a block of a wider model, and distinct trigrams of the texts compared with it at a time.
+BLOCK_ENTRIES = 1 << 22
+TRIGRAMS_AT_ONCE = 1 << 16
 SMOOTHING = 0.25
 PENALTY = 4.0
 EM_ROUNDS = 12
@@ -89,23 +97,116 @@ class Model:
     def of_counts(cls, langs: list[str], counts: np.ndarray) -> Model:
         return cls(langs, ((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * BUCKETS)))
 
+    def sent(self, context: SparkContext) -> Callable[[], Model]:
+        """What makes the model in a task."""
+        both = context.broadcast((self.langs, self.likelihood))
+        return lambda: Model(*both.value)
+
+    def mixtures(self, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[str, float]]]:
+        """``mixture`` of every text's distinct trigrams and their counts."""
+        # without letters nothing but blanks is left, too few for a trigram
+        return [self.mixture(ids, n) if len(ids) and self.langs else [] for ids, n in texts]
+
     def mixture(self, ids: np.ndarray, n: np.ndarray) -> list[tuple[str, float]]:
         """Chosen languages with their proportions, the largest first."""
         p = self.likelihood[ids]
-        total = n.sum()
-        price = PENALTY * np.log(total + 1.0)
-        single = n @ np.log(p)
-        best = int(np.argmax(single))
-        chosen, share, level = [best], np.ones(1), single[best]
-        _, order = em(p, n)
-        for other in [k for k in np.argsort(-order, kind="stable") if k != best]:
-            trial, weights = em(p[:, [*chosen, other]], n)
-            if trial - price * len(chosen) <= level - price * (len(chosen) - 1):
-                break
-            chosen.append(int(other))
-            share, level = weights, trial
-        return sorted(((self.langs[k], float(s)) for k, s in zip(chosen, share, strict=True)),
-                      key=lambda x: (-x[1], x[0]))
+        return grown(self.langs, n @ np.log(p), em(p, n)[1], lambda chosen: p[:, chosen], n)
+
+
+@dataclass
+class WideModel:
+    """Model of any number of languages by its counts above zero. A block holds
+    ``width`` buckets: (where each bucket's counts start, languages, counts)."""
+
+    langs: list[str]
+    weight: np.ndarray  # per language: sum of its smoothed counts
+    blocks: list[Broadcast]
+    width: int
+
+    @classmethod
+    def of_counted(cls, langs: list[str], counted: DataFrame) -> WideModel:
+        entries, at = stage(counted, "language-counts"), {x: i for i, x in enumerate(langs)}
+        width = -(-BUCKETS // max(1, min(BUCKETS, -(-entries.count() // BLOCK_ENTRIES))))
+        weight, blocks = np.full(len(langs), SMOOTHING * BUCKETS), []
+        for lo in range(0, BUCKETS, width):
+            rows = list(unpacked(entries.where((F.col("bucket") >= lo) & (F.col("bucket") < lo + width))))
+            bucket = np.concatenate([np.empty(0, np.int64), *[b for _, b, _ in rows]])
+            lang = np.repeat(np.array([at[x] for x, _, _ in rows], dtype=np.int32), [len(b) for _, b, _ in rows])
+            n = np.concatenate([np.empty(0), *[c for _, _, c in rows]])
+            order = np.lexsort((lang, bucket))
+            weight += np.bincount(lang, n, len(langs))
+            blocks.append(counted.sparkSession.sparkContext.broadcast(
+                (np.searchsorted(bucket[order], np.arange(lo, lo + width + 1)), lang[order], n[order])))
+        return cls(langs, weight, blocks, width)
+
+    def sent(self, context: SparkContext) -> Callable[[], WideModel]:
+        both, blocks, width = context.broadcast((self.langs, self.weight)), self.blocks, self.width
+        return lambda: WideModel(*both.value, blocks, width)
+
+    def mixtures(self, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[str, float]]]:
+        out, some, size = [], [], 0
+        for ids, n in texts:
+            some.append((ids, n))
+            size += len(ids)
+            if size >= TRIGRAMS_AT_ONCE:
+                out += self.together(some)
+                some, size = [], 0
+        return out + self.together(some)
+
+    def together(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[str, float]]]:
+        """Mixtures of a few texts, each block read once."""
+        found = [[] for _ in texts]
+        for k, block in enumerate(self.blocks):
+            first, langs, counts = block.value
+            for (ids, _), mine in zip(texts, found, strict=True):
+                inside = np.flatnonzero(ids // self.width == k)
+                start = first[ids[inside] - k * self.width]
+                size = first[ids[inside] - k * self.width + 1] - start
+                place = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                mine.append((np.repeat(inside, size), langs[place], counts[place]))
+            if len(self.blocks) > 1 and getattr(block, "_path", None):
+                del block._value  # read again from its file when needed
+        return [self.mixture(ids, n, *map(np.concatenate, zip(*mine, strict=True))) if len(ids) else []
+                for (ids, n), mine in zip(texts, found, strict=True)]
+
+    def mixture(self, ids: np.ndarray, n: np.ndarray, row: np.ndarray, lang: np.ndarray, count: np.ndarray) -> list[tuple[str, float]]:
+        """``Model.mixture`` from the counts above zero: language ``lang`` has ``count`` of
+        trigram ids[row]. A likelihood is (count + SMOOTHING) / weight, so its sums split."""
+        total, many = n.sum(), len(self.langs)
+        order = np.argsort(lang, kind="stable")
+        row, lang, count = row[order], lang[order], count[order]
+        single = (np.bincount(lang, n[row] * (np.log(count + SMOOTHING) - np.log(SMOOTHING)), many)
+                  + total * (np.log(SMOOTHING) - np.log(self.weight)))
+        share = np.full(many, 1.0 / many)
+        for _ in range(EM_ROUNDS):
+            part = share / self.weight
+            over = n / (np.bincount(row, count * part[lang], len(ids)) + SMOOTHING * part.sum())
+            share = part * (np.bincount(lang, count * over[row], many) + SMOOTHING * over.sum()) / total
+
+        def columns(chosen: list[int]) -> np.ndarray:
+            p = np.full((len(ids), len(chosen)), SMOOTHING)
+            for j, k in enumerate(chosen):
+                a, b = np.searchsorted(lang, [k, k + 1])
+                p[row[a:b], j] += count[a:b]
+            return p / self.weight[chosen]
+
+        return grown(self.langs, single, share, columns, n)
+
+
+def grown(langs: list[str], single: np.ndarray, order: np.ndarray, columns: Callable[[list[int]], np.ndarray],
+          n: np.ndarray) -> list[tuple[str, float]]:
+    """The set of languages grown from the best ``single`` one by descending ``order``
+    while the penalised likelihood rises; ``columns`` gives the likelihoods of languages."""
+    price = PENALTY * np.log(n.sum() + 1.0)
+    best = int(np.argmax(single))
+    chosen, share, level = [best], np.ones(1), single[best]
+    for other in [k for k in np.argsort(-order, kind="stable").tolist() if k != best]:
+        trial, weights = em(columns([*chosen, other]), n)
+        if trial - price * len(chosen) <= level - price * (len(chosen) - 1):
+            break
+        chosen.append(other)
+        share, level = weights, trial
+    return sorted(((langs[k], float(s)) for k, s in zip(chosen, share, strict=True)), key=lambda x: (-x[1], x[0]))
 
 
 def em(p: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray]:
@@ -118,7 +219,24 @@ def em(p: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray]:
     return float(n @ np.log(p @ share)), share
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def unpacked(counted: DataFrame) -> Iterable[tuple[str, np.ndarray, np.ndarray]]:
+    """(lang, buckets, counts) of the rows of ``counted``, packed per batch and language for the driver."""
+
+    def pack(batches):
+        for batch in batches:
+            lang = batch["lang"].dictionary_encode()
+            code, bucket, n = lang.indices.to_numpy(), batch["bucket"].to_numpy(), batch["n"].to_numpy()
+            order = np.argsort(code, kind="stable")
+            ends = np.cumsum(np.bincount(code, minlength=len(lang.dictionary)))[:-1]
+            split = lambda x, kind: pa.array([y.astype(kind).tobytes() for y in np.split(x[order], ends)], pa.binary())
+            yield pa.record_batch([lang.dictionary, split(bucket, np.uint16), split(n, np.int64)], names=["lang", "buckets", "n"])
+
+    rows = prepared(counted).mapInArrow(pack, "lang string, buckets binary, n binary").toArrow()
+    for lang, bucket, n in zip(*(rows[x].to_pylist() for x in ("lang", "buckets", "n")), strict=True):
+        yield lang, np.frombuffer(bucket, np.uint16).astype(np.int64), np.frombuffer(n, np.int64).astype(float)
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | WideModel:
     """Trigram model of the documents that are not held out."""
     train = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
              .where("doc_id is not null and text is not null and lang is not null").where(~held_out(F.col("doc_id")))
@@ -145,37 +263,37 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     counted = (prepared(train).mapInArrow(count, "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    names = sorted(r[0] for r in train.select("lang").distinct().limit(MAX_LANGS + 1).collect())
+    names = sorted(r[0] for r in train.select("lang").distinct().collect())
     if len(names) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+        return WideModel.of_counted(names, counted)
     matrix = np.zeros((BUCKETS, len(names)))
     at = {x: i for i, x in enumerate(names)}
-    for lang, bucket, n in counted.collect():  # at most BUCKETS rows a language
+    for lang, bucket, n in unpacked(counted):
         matrix[bucket, at[lang]] = n
     return Model.of_counts(names, matrix)
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model | WideModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Language mixture of every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
                        F.col(text_col).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.likelihood))
+    load = model.sent(docs.sparkSession.sparkContext)
+
+    def counts(text):
+        text = text or ""
+        if len(text) < PIECE_CHARS:
+            code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            ids, n = np.unique(trigrams(code), return_counts=True)
+        else:
+            total = trigram_counts(text)
+            ids = np.flatnonzero(total)
+            n = total[ids]
+        return ids, n.astype(float)
 
     def predict(batches):
-        m = Model(*sent.value)
+        m = load()
         for batch in batches:
-            found = []
-            for text in batch["text"].to_pylist():
-                text = text or ""
-                if len(text) < PIECE_CHARS:
-                    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-                    ids, n = np.unique(trigrams(code), return_counts=True)
-                else:
-                    total = trigram_counts(text)
-                    ids = np.flatnonzero(total)
-                    n = total[ids]
-                # without letters nothing but blanks is left, too few for a trigram
-                found.append(m.mixture(ids, n.astype(float)) if len(ids) and m.langs else [])
+            found = m.mixtures(counts(text) for text in batch["text"].to_pylist())
             yield pa.record_batch([
                 batch["doc_id"], batch["held_out"],
                 pa.array([f[0][0] if f else "und" for f in found], pa.string()),

@@ -125,6 +125,44 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_more_languages_than_one_matrix_holds(spark):
+    def text(k):
+        return " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{x}" for x in ("po", "ra", "mi", "tun", "sel")) + " the"
+
+    n = language_mixture.MAX_LANGS + 44
+    train = [(1000 * j + k, text(k) * 3, f"l{k:03d}") for k in range(n) for j in range(4)]
+    train = [r for r in train if not held_out(r[0])]
+    assert len({r[2] for r in train}) > language_mixture.MAX_LANGS
+    model = language_mixture.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    assert model.langs == sorted({r[2] for r in train})
+    asked = [k for k in range(n) if f"l{k:03d}" in model.langs]
+    out = language_mixture.identify(spark.createDataFrame([(k, text(k)) for k in asked], "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in out} == {k: f"l{k:03d}" for k in asked}
+    assert language_mixture.identify(edge(spark, extra=True), model).count() == len(EDGE)
+
+
+def test_wide_model_gives_the_same_mixtures(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    asked = docs.select("doc_id", "text").union(spark.createDataFrame(
+        [(-1, "the rain and the sea of the north " * 30 + "la pluie et les eaux du nord dans une ville " * 30), (-2, "123 !!"), (-3, None)],
+        "doc_id long, text string"))
+
+    def found():
+        model = language_mixture.learn(docs)
+        return type(model).__name__, {r.doc_id: r for r in language_mixture.identify(asked, model).collect()}
+
+    kind, want = found()
+    monkeypatch.setattr(language_mixture, "MAX_LANGS", 2)
+    monkeypatch.setattr(language_mixture, "BLOCK_ENTRIES", 3000)
+    monkeypatch.setattr(language_mixture, "TRIGRAMS_AT_ONCE", 500)
+    wide, got = found()
+    assert (kind, wide) == ("Model", "WideModel") and got.keys() == want.keys()
+    assert any(len(r.languages) > 1 for r in want.values())
+    for i, r in want.items():
+        assert (got[i].lang_pred, got[i].languages, got[i].held_out) == (r.lang_pred, r.languages, r.held_out)
+        assert got[i].proportions == pytest.approx(r.proportions, rel=1e-6)
+
+
 def test_language_mixture_and_edge_rows(spark):
     en, fr = "the rain and the sea of the north ", "la pluie et les eaux du nord dans une ville "
     train = [(i, en * 5, "en") for i in range(30)] + [(100 + i, fr * 5, "fr") for i in range(30)] + [(200, "zzz", None), (None, "abc", "xx")]
