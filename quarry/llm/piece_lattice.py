@@ -14,8 +14,8 @@ words. (A blank after another character is always such a border.)
 2. ``best_path``: a Spark higher-order aggregate folds Viterbi over the
    positions, and a second one walks the best path backwards.
 3. ``encode``: the ``frequent`` most frequent words of the corpus are encoded
-   once and sent to the executors as a dictionary of bounded size. A
-   document's other words bring their lattice along in the document's row and
+   once and sent to the executors as a dictionary of bounded size; longer ones
+   than ``WORD_CHARS`` are never in it. A document's other words bring their lattice along in the document's row and
    are folded there, so documents are never shuffled and nothing depends on
    the vocabulary's size. Which words are in the dictionary changes no result.
 4. ``decode`` concatenates the pieces' bytes: an exact inverse for every text.
@@ -50,6 +50,9 @@ from quarry.llm.common import U64, mix, powers, prepared, text_groups
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of the dictionary sent to the executors.
 FREQUENT = 1 << 18
+#: Characters of the dictionary's longest word. A word of so many has at most 4 bytes, and 4 byte
+#: pieces of 4 bytes, a character: the dictionary holds FREQUENT * WORD_CHARS * 20 bytes at most.
+WORD_CHARS = 64
 #: Distinct words a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
 UNKNOWN_PENALTY = 10.0
@@ -148,8 +151,8 @@ class CutWords:
 
 
 def word_counts(docs: DataFrame, table: PieceTable, text_col: str = "text") -> DataFrame:
-    """(word, n): words of the corpus, counted where they occur. A task passes on
-    the words it saw twice or more among ``COUNTED_AT_ONCE`` distinct ones; the
+    """(word, n): words of the corpus of at most ``WORD_CHARS`` characters, counted
+    where they occur. A task passes on the words it saw twice or more among ``COUNTED_AT_ONCE`` distinct ones; the
     others cannot be frequent, and no result depends on these counts."""
 
     def count(batches):
@@ -164,7 +167,8 @@ def word_counts(docs: DataFrame, table: PieceTable, text_col: str = "text") -> D
             for _, texts in text_groups(batch.column(0), TEXT_BYTES):
                 cut = cutter.words(texts)
                 for w, n in zip(cut.words, np.bincount(cut.which, minlength=len(cut.words)).tolist(), strict=True):
-                    seen[w] += n
+                    if len(w) <= WORD_CHARS:
+                        seen[w] += n
                 if len(seen) > COUNTED_AT_ONCE:
                     yield rows()
                     seen.clear()

@@ -84,6 +84,17 @@ def test_long_word(spark, table):
     assert r.exact and path_score(table, r.ids) == pytest.approx(brute(table, word))
 
 
+def test_long_words_stay_out_of_the_dictionary(spark, table):
+    rnd = random.Random(3)
+    word = "".join(rnd.choice("abcde") for _ in range(pl.WORD_CHARS * 5))
+    rows = [(i, f"the cat {word} the cat") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    counted = {r.word: r.n for r in pl.word_counts(df, table).collect()}
+    assert counted[" cat"] == 24 and max(map(len, counted)) <= pl.WORD_CHARS
+    want, got = ({r.doc_id: r.ids for r in pl.encode(df, table, frequent=k).collect()} for k in (0, 300))
+    assert got == want and path_score(table, got[0]) == pytest.approx(brute(table, rows[0][1]))
+
+
 def test_words_are_told_apart_when_keys_collide(table, monkeypatch):
     texts = ["the cat the dog", None, "", "a  b ▁c日本", "the cat "]
     cutter = pl.Cutter(table)
