@@ -6,7 +6,7 @@ from test_dedup import brute_jaccard, brute_leaks, brute_lines
 import __spark_entry__ as entry
 import corpus_pipeline as cp
 from quarry.llm import edit_decontamination as decon
-from quarry.llm import rule_ensemble
+from quarry.llm import piece_lattice, rule_ensemble
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,6 +43,35 @@ def test_stages(spark):
         assert df.columns == docs.columns
 
 
+def test_run_matches_brute_force_with_planted_leaks(spark, tmp_path):
+    sf = str(tmp_path)
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    items = sorted((r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect())
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted(source.collect(), key=lambda r: r.doc_id)[:120]
+    planted = {rows[k].doc_id: items[k % len(items)][1] for k in range(10, 40)}
+    rows = [(*(f"{v}\n{planted[r.doc_id]}" if c == "text" and r.doc_id in planted else v for c, v in r.asDict().items()),) for r in rows]
+    spark.createDataFrame(rows, source.schema).write.parquet(f"{sf}/documents.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = {r.doc_id: r for r in cp.run(spark, sf).collect()}
+
+    good = {r.doc_id for r in rule_ensemble.classify(docs, spark.read.parquet(f"{sf}/labels.parquet")).collect() if r.predicted}
+    want = [(i, t) for i, t in texts(docs) if i in good]
+    gone = brute_lines(want)
+    lined = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, []))) for i, t in want]
+    want = [(i, t) for i, t in lined if t.strip() or i not in gone]
+    groups = brute_jaccard(want)
+    want = [(i, t) for i, t in want if groups[i][1] == i]
+    dirty = {d for d, _ in brute_leaks(want, items, decon.EDIT_RATE)}
+    assert len(dirty & planted.keys()) > 3 and len(want) - len(dirty) > 10
+    assert out.keys() == {i for i, _ in want} - dirty
+    spelled = piece_lattice.PieceTable.load().spelled()
+    for i, t in want:
+        if i in out:
+            assert b"".join(spelled[k] for k in out[i].ids).decode()[1:] == t and out[i].exact
+
+
 def test_stages_keep_edge_rows(spark):
     rows = edge(spark).selectExpr("doc_id", "text", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars")
     for step in (cp.lines, cp.near_copies, cp.benchmark):
