@@ -1,6 +1,7 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by equal blocks and a window join, in place of a greedy
+relative Lempel-Ziv parse: no match is extended to a longest factor.
 
-Every document is parsed into factors relative to the text of documents with
+Every document's copied windows are found in the text of documents with
 smaller ids. The reference is indexed by content-defined blocks: of the 16-word
 runs inside a 50-word window the one with the smallest hash is the window's
 anchor, so equal windows have equal anchors wherever they stand. Consecutive
