@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import edit_decontamination, jaccard_join, language_mixture, license_scan, line_dedup, lz_dedup, piece_lattice, quality_rules, revisit_resolution, rule_ensemble
+from quarry.llm import edit_decontamination, jaccard_join, language_mixture, license_scan, line_dedup, lz_dedup, piece_lattice, prefix_trie, quality_rules, revisit_resolution, rule_ensemble
 from quarry.llm.common import documents, spread
 from quarry.sources.tables import read_table
 
@@ -55,6 +55,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(spread(documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.numbered_turns(spread(read_table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(prefix_trie.rebuild(turns))
+
+
 QUERIES = {
     "op1_edit_decontamination": op1_edit_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -66,6 +71,7 @@ QUERIES = {
     "op8_language_mixture": op8_language_mixture,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {
