@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import edit_decontamination, jaccard_join, language_mixture, license_scan, line_dedup, lz_dedup, piece_lattice, prefix_trie, quality_rules, revisit_resolution, rule_ensemble, token_alignment
+from quarry.llm import edit_decontamination, jaccard_join, language_mixture, license_scan, line_dedup, lz_dedup, piece_lattice, prefix_trie, quality_rules, revisit_resolution, rule_ensemble, set_sketch, token_alignment
 from quarry.llm.common import documents, spread
 from quarry.sources.tables import read_table
 
@@ -55,6 +55,10 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(spread(documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op11_set_sketch(spark, sf_dir):
+    return set_sketch.near_duplicates(spread(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 def op12_token_alignment(spark, sf_dir):
     return token_alignment.align_corpus(spread(documents(spark, sf_dir).select("doc_id", "text")))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_language_mixture": op8_language_mixture,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_set_sketch": op11_set_sketch,
     "op12_token_alignment": op12_token_alignment,
     "op13_prefix_trie": op13_prefix_trie,
 }
