@@ -33,12 +33,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.plans.execution import DEFAULT_BROADCAST_ROWS, durable, scalar_row
 from quarry.sources.passage_index import PassageIndex
+from quarry.sources.posting_blocks import decode
 
 
 @dataclass
@@ -163,15 +164,15 @@ class Retrieval:
     def query_term_set(self) -> DataFrame:
         return self.small(self.query_terms().select("term").distinct())
 
-    def _restrict(self, postings: DataFrame) -> DataFrame:
-        """Postings of query terms only: IN-list pushdown when short, semi-join always."""
+    def _restrict(self, table: DataFrame) -> DataFrame:
+        """Rows of query terms only (posting blocks, df): IN-list pushdown when short, semi-join always."""
         if self._pushdown is None:
             terms = self.query_terms().select("term").distinct().limit(PUSHDOWN_TERMS + 1).collect()
             self._pushdown = [r.term for r in terms] if len(terms) <= PUSHDOWN_TERMS else []
         if self._pushdown:
             quoted = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in self._pushdown)
-            postings = postings.where(F.expr(f"term IN ({quoted})"))
-        return postings.join(self.query_term_set(), "term", "left_semi")
+            table = table.where(F.expr(f"term IN ({quoted})"))
+        return table.join(self.query_term_set(), "term", "left_semi")
 
     # ---------------------------------------------------------- passage side
     def passage_lengths(self) -> DataFrame:
@@ -180,11 +181,11 @@ class Retrieval:
 
     def raw_term_counts(self) -> DataFrame:
         """(pid, dl, term, f) for query terms only (raw whitespace tokens)."""
-        return self._restrict(self.index.raw_postings).select("pid", "dl", "term", "f")
+        return decode(self._restrict(self.index.raw_blocks), "f", "dl").select("pid", "dl", "term", "f")
 
     def index_term_counts(self) -> DataFrame:
         """(pid, word_count, term, tf) from the index analyzer, query terms only."""
-        return self._restrict(self.index.postings).select("pid", "word_count", "term", "tf")
+        return decode(self._restrict(self.index.blocks), "tf", "word_count").select("pid", "word_count", "term", "tf")
 
     def query_term_df(self) -> DataFrame:
         """(term, df, cf) of query terms that are index terms."""
@@ -217,17 +218,23 @@ class Retrieval:
         return out.select("qid", "pid", "ord", F.coalesce(F.col(value), F.lit(0.0)).alias(value))
 
     # -------------------------------------------------------------- scorers
+    def bm25_tf_part(self, f: Column, dl: Column) -> Column:
+        """Grows with the term count, falls with the passage length."""
+        p = self.params
+        return f * (p.k1 + 1) / (F.lit(p.k1) * (1 - p.b + p.b * dl / F.lit(float(self.stats()["avdl"]))) + f)
+
+    def bm25_query_weights(self) -> DataFrame:
+        """(qid, term, w, df): a match contributes w times its tf part; negative for terms of most passages."""
+        n, k2 = float(self.stats()["n_passages"]), self.params.k2
+        k = F.col("k")
+        idf = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        terms = self.query_terms().join(self.small(self.query_term_df().select("term", "df")), "term")
+        return terms.select("qid", "term", (k * idf * (k * (k2 + 1) / (F.lit(k2) + k))).alias("w"), "df")
+
     def bm25(self) -> DataFrame:
         """(qid, pid, ord, score): Okapi BM25 with k1, k2, b; index terms only."""
-        s, p = self.stats(), self.params
-        n, avdl = float(s["n_passages"]), float(s["avdl"])
-        df = self.small(self.query_term_df().select("term", "df"))
-        m = self._matches().join(df, "term")
-        k, f, dl = F.col("k"), F.col("f"), F.col("dl")
-        idf = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        tf_part = f * (p.k1 + 1) / (F.lit(p.k1) * (1 - p.b + p.b * dl / F.lit(avdl)) + f)
-        q_part = k * (p.k2 + 1) / (F.lit(p.k2) + k)
-        contrib = k * idf * tf_part * q_part
+        m = self.raw_term_counts().join(self.small(self.bm25_query_weights().select("qid", "term", "w")), "term")
+        contrib = F.col("w") * self.bm25_tf_part(F.col("f"), F.col("dl"))
         sparse = m.groupBy("qid", "pid").agg(F.sum(contrib).alias("score"))
         return self._with_candidates(sparse)
 
@@ -328,8 +335,7 @@ class Retrieval:
         product. Same formulas as the single-scorer methods.
         """
         s, p = self.stats(), self.params
-        n, avdl = float(s["n_passages"]), float(s["avdl"])
-        v = float(s["vocabulary_size"])
+        n, v = float(s["n_passages"]), float(s["vocabulary_size"])
         pl = float(s["total_words"])
         eps, mu = p.epsilon, p.mu
         stat = "df" if p.background == "df" else "cf"
@@ -338,7 +344,7 @@ class Retrieval:
         m = self._matches().join(dfq, "term", "left")
         k, f, dl = F.col("k"), F.col("f"), F.col("dl")
         idf = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        tf_part = f * (p.k1 + 1) / (F.lit(p.k1) * (1 - p.b + p.b * dl / F.lit(avdl)) + f)
+        tf_part = self.bm25_tf_part(f, dl)
         q_part = k * (p.k2 + 1) / (F.lit(p.k2) + k)
         known = F.col("df").isNotNull()
         sparse = m.groupBy("qid", "pid").agg(

@@ -5,17 +5,19 @@ writing both token arrays (index analyzer and raw whitespace) to parquet,
 then derives from that stage:
 
     docs          (pid, ord, word_count, dl, n_index_tokens)
-    postings      (term, pid, tf, word_count)     index analyzer
-    raw_postings  (term, pid, f, dl)              raw whitespace tokens
+    blocks        postings (term, pid, tf, word_count), index analyzer
+    raw_blocks    postings (term, pid, f, dl), raw whitespace tokens
     doc_freq      (term, df, cf)
     doc_norms     (pid, pnorm)                    L2 norm of the TF-IDF vector
     stats         one row: n_passages, avdl, total_words, n_nonempty,
                   total_tokens, vocabulary_size
 
-The posting tables are range-partitioned on (term, pid) and sorted inside
-each file: parquet min/max statistics then let a query-term ``IN`` filter
-skip row groups, and a frequent term still spreads over several files
-because ``pid`` is the second range key.
+Both posting tables are coded in blocks (``posting_blocks``): up to 128 postings
+of a term in one row, with the bounds that let a reader leave the row alone.
+They are range-partitioned on (term, pid) and sorted inside each file: parquet
+min/max statistics then let a query-term ``IN`` filter skip row groups, and a
+frequent term still spreads over several files because ``pid`` is the second
+range key. ``postings`` and ``raw_postings`` are the decoded rows.
 
 Every stage is written to storage (``root`` defaults to a directory under
 ``spark.checkpoint.dir``), so a lost executor costs a task retry, not a
@@ -36,11 +38,12 @@ from quarry.functions import text as T
 from quarry.operators.ranking import first_wins
 from quarry.plans.execution import (DEFAULT_BROADCAST_ROWS, delete_folder, ensure_checkpoint_dir, folder_bytes,
                                     path_exists, scalar_row)
+from quarry.sources.posting_blocks import decode, encode
 
 # Token bytes behind each file of the posting tables.
 POSTING_FILE_BYTES = 64 << 20
 
-TABLES = ("docs", "postings", "raw_postings", "doc_freq", "doc_norms", "stats")
+TABLES = ("docs", "blocks", "raw_blocks", "doc_freq", "doc_norms", "stats")
 
 
 def _posting_layout(df: DataFrame, partitions: int) -> DataFrame:
@@ -86,16 +89,14 @@ class PassageIndex:
         # size(array) > 0 filter that evaluates the array column twice.
         idx_rows = tok.select("pid", "word_count", F.explode_outer("idx").alias("term")).where(F.col("term").isNotNull())
         post = idx_rows.groupBy("pid", "word_count", "term").agg(F.count(F.lit(1)).alias("tf"))
-        _posting_layout(post.select("term", "pid", "tf", "word_count"), n_parts) \
-            .write.mode("overwrite").parquet(f"{root}/postings")
+        encode(_posting_layout(post, n_parts), "tf", "word_count").write.mode("overwrite").parquet(f"{root}/blocks")
 
         raw_rows = tok.select("pid", "dl", F.explode_outer("raw").alias("term")).where(F.col("term").isNotNull())
         raw = raw_rows.groupBy("pid", "dl", "term").agg(F.count(F.lit(1)).alias("f"))
-        _posting_layout(raw.select("term", "pid", "f", "dl"), n_parts) \
-            .write.mode("overwrite").parquet(f"{root}/raw_postings")
+        encode(_posting_layout(raw, n_parts), "f", "dl").write.mode("overwrite").parquet(f"{root}/raw_blocks")
 
-        postings = spark.read.parquet(f"{root}/postings")
-        postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("cf")) \
+        blocks = spark.read.parquet(f"{root}/blocks")
+        blocks.groupBy("term").agg(F.sum("n").cast("long").alias("df"), F.sum("sum_count").cast("long").alias("cf")) \
             .write.mode("overwrite").parquet(f"{root}/doc_freq")
 
         docs = spark.read.parquet(f"{root}/docs")
@@ -118,7 +119,7 @@ class PassageIndex:
         n = float(stats["n_passages"] or 1)
         dfj = F.broadcast(doc_freq) if stats["vocabulary_size"] <= DEFAULT_BROADCAST_ROWS else doc_freq
         w = (F.col("tf") / F.col("word_count")) * F.log10(F.lit(n) / F.col("df"))
-        postings.join(dfj.select("term", "df"), "term").groupBy("pid") \
+        decode(blocks, "tf", "word_count").join(dfj.select("term", "df"), "term").groupBy("pid") \
             .agg(F.sqrt(F.sum(w * w)).alias("pnorm")) \
             .write.mode("overwrite").parquet(f"{root}/doc_norms")
 
@@ -137,13 +138,23 @@ class PassageIndex:
     def docs(self) -> DataFrame:
         return self.table("docs")
 
+    @property
+    def blocks(self) -> DataFrame:
+        return self.table("blocks")
+
+    @property
+    def raw_blocks(self) -> DataFrame:
+        return self.table("raw_blocks")
+
     @property
     def postings(self) -> DataFrame:
-        return self.table("postings")
+        """(term, pid, tf, word_count)"""
+        return decode(self.blocks, "tf", "word_count")
 
     @property
     def raw_postings(self) -> DataFrame:
-        return self.table("raw_postings")
+        """(term, pid, f, dl)"""
+        return decode(self.raw_blocks, "f", "dl")
 
     @property
     def doc_freq(self) -> DataFrame:
