@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import evaluation as E
+from quarry.operators import factorised as FX
 from quarry.operators import features as X
 from quarry.operators import logistic as L
 from quarry.operators import index as I
 from quarry.operators import pairwise as PW
 from quarry.operators.ranking import global_rank, prefix_within, rank_within, score_key, top_k_within
 from quarry.operators.scoring import SCORERS, Retrieval
+from quarry.operators.topk import bm25_top
 from quarry.plans import learned as LR
 from quarry.plans.execution import durable, ensure_checkpoint_dir, table_version
 from quarry.session import table_path
@@ -165,8 +167,7 @@ def q_bm25_prefix100(spark, sf_dir):
 
 
 def q_bm25_top10(spark, sf_dir):
-    s = retrieval(spark, sf_dir).bm25()
-    out = top_k_within(s, ["qid"], [score_key("score"), F.col("ord")], 10)
+    out = bm25_top(retrieval(spark, sf_dir), 10)
     return out.select("qid", "pid", r6("score").alias("score"), "rank")
 
 
@@ -239,8 +240,7 @@ def q_map_ndcg_summary(spark, sf_dir):
 
 
 def q_run_file_rows(spark, sf_dir):
-    s = retrieval(spark, sf_dir).bm25()
-    top = top_k_within(s, ["qid"], [score_key("score"), F.col("ord")], 100)
+    top = bm25_top(retrieval(spark, sf_dir), 100)
     # written as a run file and read back
     path = scratch(spark, "run6")
     files.write_run6(top, path, "BM25", 100)
@@ -381,11 +381,63 @@ def q_logistic_predict(spark, sf_dir):
                        model.predict().alias("prediction"))
 
 
+# Passes of the Word2Vec models, rates and iterations of the sweep.
+WORD2VEC_PASSES = 1
+RATES = [10.0, 1.0, 0.5, 0.1, 0.01]
+RANK_RATE = 0.1
+ITERATIONS = 100
+
+
+def text_means(spark, sf_dir):
+    """Mean vectors of all queries and passages under the two Word2Vec models, once per session."""
+    r = retrieval(spark, sf_dir)
+    return _shared(spark, ("means", sf_dir), lambda: LR.text_means(r.queries, r.passages, max_iter=WORD2VEC_PASSES))
+
+
+def factored(spark, sf_dir) -> tuple[FX.FactoredPairs, FX.FactoredPairs]:
+    """Training and held-out pairs with the 600-dimensional features in factored form."""
+    def make():
+        qv, pv = text_means(spark, sf_dir)
+        train, held = LR.split_queries(labelled(retrieval(spark, sf_dir), spark, sf_dir).select("qid", "pid", "ord", "relevancy"))
+        return FX.FactoredPairs.build(train, qv, pv), FX.FactoredPairs.build(held, qv, pv)
+    return _shared(spark, ("factored", sf_dir), make)
+
+
+def sweep(spark, sf_dir) -> list[L.LogisticModel]:
+    """One model a rate, all fitted in the same passes over the training pairs."""
+    return _shared(spark, ("sweep", sf_dir), lambda: FX.fit_many(factored(spark, sf_dir)[0], RATES, ITERATIONS))
+
+
 def q_lr_sweep(spark, sf_dir):
     """Costs of five learning rates on the training queries' pairs, 100 iterations each."""
-    train, _ = LR.split_queries(feature_table(spark, sf_dir))
-    models = L.fit_many(train, [10.0, 1.0, 0.5, 0.1, 0.01], 100, "features", "relevancy")
-    return L.cost_trace(spark, models)
+    return L.cost_trace(spark, sweep(spark, sf_dir))
+
+
+def fixture_factored(spark, sf_dir) -> FX.FactoredPairs:
+    """All labelled pairs with the averaged fixture vectors (64 + 64 dimensions), in factored form."""
+    def make():
+        r = retrieval(spark, sf_dir)
+        vectors = durable(X.fixture_word_vectors(r.index.doc_freq.select("term", F.col("cf").alias("count")), tables.vectors(spark, sf_dir)))
+        qv = X.average_vectors(r.queries, "qid", "query", vectors, LR.FIXTURE_DIM)
+        pv = X.average_vectors(r.passages, "pid", "passage", vectors, LR.FIXTURE_DIM, remove_stopwords=True)
+        return FX.FactoredPairs.build(labelled(r, spark, sf_dir), qv, pv)
+    return _shared(spark, ("fixture-factored", sf_dir), make)
+
+
+def q_factorised_descent(spark, sf_dir):
+    """Ten iterations from zero (rates 0.5 and 5) over all labelled pairs: weights, bias and costs."""
+    rows = []
+    for m in FX.fit_many(fixture_factored(spark, sf_dir), [0.5, 5.0], 10):
+        rows += [(m.learning_rate, f"w{i}", v) for i, v in enumerate(m.w)] + [(m.learning_rate, "b", m.b)]
+        rows += [(m.learning_rate, f"cost{i}", c) for i, c in enumerate(m.costs)]
+    return spark.createDataFrame(rows, "rate double, param string, value double").select("rate", "param", r6("value").alias("value"))
+
+
+def q_factorised_predict(spark, sf_dir):
+    """Probability of every labelled pair under fixed weights, from one margin a text."""
+    model = L.LogisticModel(fixture_weights(2 * LR.FIXTURE_DIM), FIXTURE_BIAS, [], 0.0)
+    out = FX.logistic_scores(fixture_factored(spark, sf_dir), model, hard=False)
+    return out.select("qid", "pid", r6("score").alias("probability"), F.when(F.col("score") > 0.5, 1.0).otherwise(0.0).alias("prediction"))
 
 
 def feature_table(spark, sf_dir):
@@ -395,11 +447,31 @@ def feature_table(spark, sf_dir):
         r, tables.vectors(spark, sf_dir), labelled(r, spark, sf_dir)))
 
 
+def _logistic(spark, sf_dir):
+    model = next(m for m in sweep(spark, sf_dir) if m.learning_rate == RANK_RATE)
+    return FX.logistic_scores(factored(spark, sf_dir)[1], model)
+
+
+def _perceptron(spark, sf_dir):
+    train, _ = LR.split_queries(labelled(retrieval(spark, sf_dir), spark, sf_dir))
+    return LR.MlpRanker.fit_pairs(train, *text_means(spark, sf_dir)).score_pairs(factored(spark, sf_dir)[1])
+
+
+def _boosted(spark, sf_dir):
+    train, held = LR.split_queries(feature_table(spark, sf_dir))
+    return PW.boosted_fit(train).score(held)
+
+
+#: name -> f(spark, sf_dir) -> scored held-out pairs
+RANKERS = {"LR": _logistic, "LM": _boosted, "NN": _perceptron}
+
+
 def learned_run(spark, sf_dir, name: str):
     """Held-out queries scored by a ranker fitted on the relevancy of the other queries."""
     def make():
-        train, held = LR.split_queries(feature_table(spark, sf_dir))
-        return durable(LR.RANKERS[name](train, held).select("qid", "pid", "ord", "score", "relevancy", "grade"))
+        scored = RANKERS[name](spark, sf_dir).select("qid", "pid", "ord", "score")
+        return durable(scored.join(labelled(retrieval(spark, sf_dir), spark, sf_dir), ["qid", "pid", "ord"])
+                       .select("qid", "pid", "ord", "score", "relevancy", "grade"))
     return _shared(spark, (f"learned-{name}", sf_dir), make)
 
 
@@ -415,7 +487,7 @@ def q_learned_summary(spark, sf_dir):
     queries; ``best`` marks the ranker of the highest MAP."""
     bound = retrieval(spark, sf_dir).group_bound()
     runs = None
-    for name in LR.RANKERS:
+    for name in RANKERS:
         run = learned_run(spark, sf_dir, name).withColumn("algoname", F.lit(name))
         runs = run if runs is None else runs.unionByName(run)
     out = E.scored_summary(runs, "algoname", "relevancy", "grade", bound)
@@ -427,13 +499,8 @@ def q_learned_summary(spark, sf_dir):
 
 
 def q_word2vec_features(spark, sf_dir):
-    """Two Word2Vec models, of the queries (min_count 2, window 1) and the passages
-    (min_count 4, window 10), 300 dimensions each; the mean vector of every text."""
-    q, p = tables.queries(spark, sf_dir), tables.passages(spark, sf_dir)
-    of_queries = X.train_word2vec(X.sentence_words(q, "query"), 300, min_count=2, window=1, seed=7)
-    of_passages = X.train_word2vec(X.sentence_words(p, "passage"), 300, min_count=4, window=10, seed=7)
-    qv = X.average_vectors(q, "qid", "query", of_queries, 300)
-    pv = X.average_vectors(p, "pid", "passage", of_passages, 300, remove_stopwords=True)
+    """The mean vector (300 dimensions) of every text under its Word2Vec model."""
+    qv, pv = text_means(spark, sf_dir)
     return qv.select(F.lit("q").alias("kind"), F.col("qid").alias("id"), "vector").unionByName(
         pv.select(F.lit("p").alias("kind"), F.col("pid").alias("id"), "vector"))
 
@@ -471,6 +538,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "logistic_step": q_logistic_step,
     "logistic_predict": q_logistic_predict,
+    "factorised_descent": q_factorised_descent,
+    "factorised_predict": q_factorised_predict,
     "lr_sweep": q_lr_sweep,
     "logistic_fit": _learned_rank("LR"),
     "mlp_rank": _learned_rank("NN"),

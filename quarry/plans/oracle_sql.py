@@ -216,6 +216,53 @@ def avg_word_vectors_sql() -> str:
         "FROM ALLD a LEFT JOIN AVGS v ON v.kind = a.kind AND v.id = a.id AND v.dim = a.dim")
 
 
+LABELLED_BASE = (*BASE, LAB)
+
+
+# Averaged fixture vectors of both texts of every labelled pair, one list a pair.
+def pair_vectors(dim: int = 64) -> tuple[str, ...]:
+    voc = ("VOC AS (SELECT term AS word, vec_id FROM (SELECT term, (row_number() OVER (ORDER BY cf DESC, term) - 1) "
+           "% (SELECT count(*) FROM embeddings) AS vec_id FROM DF))")
+    txt = (f"TXT AS (SELECT 'q' AS kind, qid AS id, {words_plain('query')} AS w FROM Q UNION ALL "
+           f"SELECT 'p' AS kind, pid AS id, list_filter({words_plain('passage')}, lambda t: t NOT IN ({STOPS})) AS w FROM P)")
+    avgs = ("AVGS AS (SELECT kind, id, list(value ORDER BY dim) AS v FROM (SELECT kind, id, dim, avg(val) AS value FROM ("
+            "SELECT w.kind, w.id, unnest(range(len(e.embedding))) AS dim, unnest(e.embedding)::DOUBLE AS val FROM "
+            "(SELECT kind, id, unnest(w) AS word FROM TXT) w JOIN VOC o ON o.word = w.word JOIN embeddings e ON e.vec_id = o.vec_id) "
+            "GROUP BY kind, id, dim) GROUP BY kind, id)")
+    zero = "list_transform(range(%d), lambda i: 0.0::DOUBLE)" % dim
+    px = (f"PX AS MATERIALIZED (SELECT l.qid, l.pid, l.relevancy AS y, coalesce(q.v, {zero}) || coalesce(p.v, {zero}) AS x FROM LAB l "
+          "LEFT JOIN AVGS q ON q.kind = 'q' AND q.id = l.qid LEFT JOIN AVGS p ON p.kind = 'p' AND p.id = l.pid)")
+    return voc, txt, avgs, px
+
+
+def factorised_descent_sql(rates=(0.5, 5.0), iterations: int = 10, dim: int = 128) -> str:
+    """Dense gradient descent over the concatenated features, one CTE an iteration."""
+    steps, out = ["N AS (SELECT count(*)::DOUBLE AS m FROM PX)"], []
+    for k, rate in enumerate(rates):
+        steps.append(f"S{k}_0 AS (SELECT list_transform(range({dim}), lambda i: 0.0::DOUBLE) AS w, 0.0::DOUBLE AS b)")
+        for i in range(iterations):
+            z = "list_dot_product(PX.x, s.w) + s.b"
+            steps.append(f"E{k}_{i} AS MATERIALIZED (SELECT x, y, z, 1.0 / (1.0 + exp(-z)) - y AS e FROM (SELECT PX.x, PX.y, {z} AS z FROM PX, S{k}_{i} s))")
+            steps.append(f"G{k}_{i} AS (SELECT list(g ORDER BY j) AS g FROM (SELECT j, sum(e * v) AS g FROM ("
+                         f"SELECT e, unnest(x) AS v, unnest(range({dim})) AS j FROM E{k}_{i}) GROUP BY j))")
+            steps.append(f"S{k}_{i + 1} AS MATERIALIZED (SELECT list_transform(range({dim}), lambda j: s.w[j + 1] - {rate} * g.g[j + 1] / N.m) AS w, "
+                         f"s.b - {rate} * (SELECT sum(e) FROM E{k}_{i}) / N.m AS b FROM S{k}_{i} s, G{k}_{i} g, N)")
+            cost = "avg(greatest(z, 0) + ln(1 + exp(-abs(z))) - y * z)"
+            out.append(f"SELECT {rate}::DOUBLE AS rate, 'cost{i}' AS param, {r6(cost)} AS value FROM E{k}_{i}")
+        last = f"S{k}_{iterations}"
+        out.append(f"SELECT {rate}::DOUBLE, 'w' || j, {r6('v')} FROM (SELECT unnest(w) AS v, unnest(range({dim})) AS j FROM {last})")
+        out.append(f"SELECT {rate}::DOUBLE, 'b', {r6('b')} FROM {last}")
+    return with_(*LABELLED_BASE, *pair_vectors(), *steps) + " UNION ALL ".join(out)
+
+
+def factorised_predict_sql(dim: int = 128) -> str:
+    w = f"list_transform(range({dim}), lambda i: ((i * 7) % 11 - 5) / 10.0)"
+    z = f"(list_dot_product(x, {w}::DOUBLE[]) + 0.05)"
+    return with_(*LABELLED_BASE, *pair_vectors()) + (
+        f"SELECT qid, pid, {r6('p')} AS probability, (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END)::DOUBLE AS prediction "
+        f"FROM (SELECT qid, pid, 1.0 / (1.0 + exp(-{z})) AS p FROM PX)")
+
+
 LOGISTIC_STEP = with_(
     "X AS (SELECT vec_id, y, unnest(range(len(embedding))) AS j, unnest(embedding)::DOUBLE AS x FROM "
     "(SELECT vec_id, embedding, (CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END)::DOUBLE AS y FROM embeddings))",
@@ -339,6 +386,8 @@ ORACLE: dict[str, str] = {
     "label_histogram": with_(*BASE, LAB) + "SELECT relevancy, count(*)::BIGINT AS n FROM LAB GROUP BY relevancy",
     "avg_word_vectors": avg_word_vectors_sql(),
     "libsvm_roundtrip": LIBSVM_ROUNDTRIP,
+    "factorised_descent": factorised_descent_sql(),
+    "factorised_predict": factorised_predict_sql(),
     "logistic_step": LOGISTIC_STEP,
     "logistic_predict": LOGISTIC_PREDICT,
 }
