@@ -31,10 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import count_chars, held_out, stage, word_array
+from quarry.llm.common import count_chars, held_out, prepared, stage, word_array
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÇÈÉÊËÎÏÔÖÙÛÜÑÁÍÓÚ"
 DIGITS = "0123456789"
@@ -148,42 +148,48 @@ def forest_rules(model) -> list[Rule]:
 def fit(train: DataFrame, label_col: str = "label", trees: int = 16, depth: int = 4, lasso: float = 0.0001,
         seed: int = 11) -> RuleEnsemble:
     """Fit on ``train`` (``FEATURES`` and a 0/1 label), a bounded sample; the
-    same rows in any order give the same rules."""
-    # a bounded sample: sorted on the driver, so that bagging sees the same rows in every run
-    rows = train.select(label_col, *FEATURES).toArrow()
-    rows = rows.sort_by([(c, "ascending") for c in rows.column_names])
-    y = rows[label_col].to_numpy().astype(float)
-    x = np.column_stack([rows[c].to_numpy() for c in FEATURES])
+    same rows in any order give the same rules.
+
+    The rows are sorted into one small file, so bagging sees them alike in
+    every run, and both learners read files: the driver holds the statistics
+    (12 numbers a row) while it looks for rules that agree, but no matrix of rules.
+    """
+    columns = [label_col, *FEATURES]
+    rows = stage(train.select(*columns).coalesce(1).sortWithinPartitions(*columns), "quality-sorted")
+    table = rows.toArrow()
+    y = table[label_col].to_numpy().astype(float)
+    x = np.column_stack([table[c].to_numpy() for c in FEATURES])
+    del table
     p = (y.sum() + 0.5) / (len(y) + 1.0)
     constant = RuleEnsemble(math.log(p / (1 - p)))
     if len(np.unique(y)) < 2:
         return constant
-    forest = _learn(train.sparkSession, x, y, RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=seed))
+    label = F.col(label_col).cast("double").alias("label")
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=seed).fit(
+        rows.select(array_to_vector(F.array(*FEATURES)).alias("features"), label))
     rules = forest_rules(forest)
     if not rules:  # no split helps: only the base rate is left
         return constant
-    distinct: dict[bytes, tuple[Rule, np.ndarray]] = {}  # of rules that agree on every row, the first
+    distinct: dict[bytes, Rule] = {}  # of rules that agree on every row, the first
     for r in rules:
-        hit = rule_hits(r, x)
-        distinct.setdefault(np.packbits(hit).tobytes(), (r, hit))
-    rules, hits = zip(*distinct.values(), strict=True)
-    model = _learn(train.sparkSession, np.column_stack(hits).astype(float), y, LogisticRegression(
-        elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False))
+        distinct.setdefault(np.packbits(rule_hits(r, x)).tobytes(), r)
+    rules = list(distinct.values())
+    del x, distinct
+
+    def hits(batches):
+        for batch in batches:
+            x = np.column_stack([batch[c].to_numpy() for c in FEATURES])
+            found = np.column_stack([rule_hits(r, x) for r in rules]).astype(float)
+            values = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(rules)).cast(pa.list_(pa.float64()))
+            yield pa.record_batch([values, batch["label"]], names=["x", "label"])
+
+    matrix = stage(prepared(rows).select(label, *FEATURES).mapInArrow(hits, "x array<double>, label double"), "quality-rules")
+    model = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False).fit(
+        matrix.select(array_to_vector("x").alias("features"), "label"))
     weights = {r: float(w) for r, w in zip(rules, model.coefficients.toArray(), strict=True) if abs(w) > 1e-6}
     return RuleEnsemble(float(model.intercept), weights)
 
 
-def _learn(spark: SparkSession, x: np.ndarray, y: np.ndarray, learner):
-    """Fit a Spark ML learner on the rows of a bounded matrix."""
-    values = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(x).ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-    data = spark.createDataFrame(pa.table({"x": values, "label": y})).coalesce(2).select(array_to_vector("x").alias("features"), "label").cache()
-    try:
-        return learner.fit(data)
-    finally:
-        data.unpersist()
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
     """Statistics and label of at most ``max_rows`` labelled documents that
     are not held out, chosen by the hash of their id."""
