@@ -134,30 +134,31 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, broadcast_ids: in
 
 
 def _cleaned(docs: DataFrame, min_words: int, broadcast_ids: int) -> DataFrame:
-    gone = dropped_lines(docs.select(F.col("doc_id"), F.col("text")), min_words, broadcast_ids) \
-        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("dropped__"))
-    lines = F.split("text", "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped__")),
-                       lambda i: F.get(F.col("lines__"), i))
-    return (docs.join(gone, "doc_id", "left").withColumn("lines__", lines)
-            .withColumn("kept__", F.when(F.col("dropped__").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))))
+    """(doc_id, row, dropped, lines, kept): the caller's row in one struct, so
+    that no name of its columns can meet one of these."""
+    gone = dropped_lines(docs.select("doc_id", "text"), min_words, broadcast_ids) \
+        .groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"), F.split("text", "\n").alias("lines"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped")), lambda i: F.get(F.col("lines"), i))
+    return rows.join(gone, "doc_id", "left").withColumn(
+        "kept", F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n")))
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped, kept_sha256) for every row of ``docs``."""
     return _cleaned(docs.select("doc_id", "text"), min_words, broadcast_ids).select(
-        "doc_id", F.coalesce(F.size("lines__"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("dropped__"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.coalesce("dropped__", F.array().cast("array<int>")).alias("dropped"),
-        F.sha2(F.coalesce("kept__", F.lit("")), 256).alias("kept_sha256"))
+        "doc_id", F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def clean(docs: DataFrame, min_words: int = MIN_WORDS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``docs`` with the duplicate lines taken out of ``text``; documents that
     lost lines and have no word left go (their lines stand in earlier documents)."""
     out = _cleaned(docs, min_words, broadcast_ids)
-    gone = F.col("dropped__").isNotNull() & ~F.col("kept__").rlike(r"[^\x20\x09-\x0D]")
-    return out.where(~gone).select(*[F.col("kept__").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    gone = F.col("dropped").isNotNull() & ~F.col("kept").rlike(r"[^\x20\x09-\x0D]")
+    return out.where(~gone).select(*[F.col("kept").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 ORACLE_SQL = r"""
