@@ -26,8 +26,10 @@ Defined results
 * null headers: as empty. Null payload of a response: resolved with null payload.
 * ties: of responses with equal time the greatest record id is the latest; a
   response at the revisit's very time is not earlier.
-* repeated records: a repeated revisit is answered once per row; repeated
-  responses with one id count as one.
+* repeated records: every revisit row is answered by itself, at its own time.
+  Responses with one id at different times are different captures. Of responses
+  that share id, URL and time, the one with the greatest digest (then payload
+  hash, then headers) stands for all.
 * very long payloads are joined once, at the end, to the revisits they answer.
 * extra columns are ignored. Empty table: no rows.
 """
@@ -67,8 +69,8 @@ def lower_keys(headers: Column) -> Column:
 
 
 def as_of(records: DataFrame) -> DataFrame:
-    """(id, found) for revisit rows with the id of the latest earlier response.
-    ``records``: key, time, id, is_response."""
+    """(id, key, time, found_id, found_time) for revisit rows with an earlier
+    response: the latest. ``records``: key, time, id, is_response."""
     placed = stage(records.where("key is not null and time is not null")
                    .repartitionByRange("key", "time").withColumn("part", F.spark_partition_id()), "revisit-ranges")
     mark = F.when(F.col("is_response"), F.struct("time", "id"))
@@ -77,8 +79,8 @@ def as_of(records: DataFrame) -> DataFrame:
     ends = placed.groupBy("key", "part").agg(F.max(mark).alias("last"))
     before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.withColumn("carried", F.max("last").over(before)).where("carried is not null").select("key", "part", "carried")
-    return here.join(carried, ["key", "part"], "left").select(
-        "id", F.coalesce("inside.id", "carried.id").alias("found")).where("found is not null").distinct()
+    return (here.join(carried, ["key", "part"], "left").withColumn("found", F.coalesce("inside", "carried")).where("found is not null")
+            .select("id", "key", "time", F.col("found.id").alias("found_id"), F.col("found.time").alias("found_time")).distinct())
 
 
 def _tag(headers: Column) -> Column:
@@ -91,68 +93,102 @@ def resolve(records: DataFrame) -> DataFrame:
     (``resolved``, ``mismatch``, ``unverifiable``, ``no_response``), headers, digest, payload."""
     rows = records.select("record_id", "time", (F.col("type") == "response").alias("is_response"), "type",
                           canonical_url(F.col("url")).alias("key"), lower_keys(F.col("headers")).alias("headers"), "digest", "payload")
-    found = as_of(rows.where(F.col("type").isin("response", "revisit")).select("key", "time", F.col("record_id").alias("id"), "is_response"))
+    found = stage(as_of(rows.where(F.col("type").isin("response", "revisit")).select("key", "time", F.col("record_id").alias("id"), "is_response")),
+                  "revisit-found")
     revisit = rows.where("type = 'revisit'").drop("payload", "is_response", "type")
-    response = rows.where("is_response").dropDuplicates(["record_id"]).select(
-        F.col("record_id").alias("found"), F.col("headers").alias("stored"), F.col("digest").alias("stored_digest"), F.col("payload"))
-    joined = (revisit.join(found.withColumnRenamed("id", "record_id"), "record_id", "left").join(response, "found", "left"))
+    place = ["found_id", "key", "found_time"]
+    first = F.struct(F.coalesce("digest", F.lit("")), F.sha2(F.coalesce("payload", F.lit("")), 256), F.to_json(F.array_sort(F.map_entries("headers"))))
+    response = (rows.where("is_response").withColumnsRenamed({"record_id": "found_id", "time": "found_time"})
+                .join(found.select(*place).distinct(), place, "left_semi")
+                .groupBy(*place).agg(F.max_by(F.struct("headers", "digest", "payload"), first).alias("r"))
+                .select(*place, F.col("r.headers").alias("stored"), F.col("r.digest").alias("stored_digest"), F.col("r.payload").alias("payload")))
+    joined = (revisit.join(found.withColumnRenamed("id", "record_id"), ["record_id", "key", "time"], "left").join(response, place, "left"))
     new, old = F.col("headers"), F.col("stored")
     agree = (F.when(new["etag"].isNotNull() & old["etag"].isNotNull(), _tag(new) == _tag(old))
              .when(new["last-modified"].isNotNull() & old["last-modified"].isNotNull(), new["last-modified"] == old["last-modified"])
              .otherwise(F.col("digest") == F.col("stored_digest")))
-    status = (F.when(F.col("found").isNull(), "no_response").when(agree, "resolved")
+    status = (F.when(F.col("found_id").isNull(), "no_response").when(agree, "resolved")
               .when(~agree, "mismatch").otherwise("unverifiable"))
     kept = F.array(*[F.lit(k) for k in KEPT])
     updates = F.map_filter(new, lambda k, _: ~F.array_contains(kept, k))
     merged = F.map_concat(F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(updates), k)), updates)
     ok = F.col("status") == "resolved"
     return joined.withColumn("status", status).select(
-        F.col("record_id").alias("revisit_id"), F.col("key").alias("url_key"), "time", F.col("found").alias("response_id"), "status",
+        F.col("record_id").alias("revisit_id"), F.col("key").alias("url_key"), "time", F.col("found_id").alias("response_id"), "status",
         F.when(ok, merged).alias("headers"), F.when(ok, F.col("stored_digest")).alias("digest"), F.when(ok, F.col("payload")).alias("payload"))
 
 
 def capture_records(pages: DataFrame) -> DataFrame:
     """Capture records derived from the ``pages`` table.
 
-    Every page is a full response at time 10 * page_id. Every second page is
-    asked for again 25 later under another spelling of its URL; the answer is a
-    revisit whose ETag is the page's, but stale for page ids divisible by 8.
+    Every page p is a full response at time 10 p and is asked for again at
+    10 p + 25, pages divisible by 7 also at 10 p - 5. A third of the pages lie
+    under one URL, a third share a URL by eights, a third have their own; what
+    pages of a shared URL hold changes every six pages. Responses carry an ETag,
+    Last-Modified, both or neither, revisits an ETag (stale at times),
+    Last-Modified, a digest (wrong at times) or nothing.
     """
-    md5 = F.md5(F.coalesce("html", F.lit("")))
-    full = pages.select(
-        F.concat(F.lit("r"), F.col("page_id")).alias("record_id"), "url", (F.col("page_id") * 10).alias("time"),
-        F.lit("response").alias("type"),
-        F.create_map(F.lit("ETag"), md5, F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"),
-                     F.length("html").cast("string"), F.lit("Cache-Control"), F.lit("max-age=60")).alias("headers"),
-        F.md5("html").alias("digest"), F.col("html").alias("payload"))
-    again = pages.where("page_id % 2 = 0").select(
-        F.concat(F.lit("v"), F.col("page_id")).alias("record_id"), F.concat("url", F.lit("#again")).alias("url"),
-        (F.col("page_id") * 10 + 25).alias("time"), F.lit("revisit").alias("type"),
-        F.create_map(F.lit("etag"), F.when(F.col("page_id") % 8 == 0, F.lit("stale")).otherwise(F.concat(F.lit("W/"), md5)),
-                     F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=90"),
-                     F.lit("Date"), F.col("page_id").cast("string")).alias("headers"),
-        F.lit(None).cast("string").alias("digest"), F.lit(None).cast("string").alias("payload"))
+    p, third = F.col("page_id"), F.col("page_id") % 3
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    version = F.when(third == 1, text("e", p)).otherwise(text("e", F.floor(p / 6)))
+    url = (F.when(third == 0, F.lit("http://hot.example.org/"))
+           .when(third == 2, text("https://site", F.floor(p / 8), ".example.org/a?y=2&x=1")).otherwise(F.col("url")))
+    base = pages.select("page_id", "html", url.alias("url"), version.alias("version"))
+
+    def headers(**fields):
+        each = [x for k, v in fields.items() for x in (F.lit(k.replace("_", "-")), v)]
+        return F.map_filter(F.create_map(*each), lambda _, v: v.isNotNull())
+
+    full = base.select(
+        text("r", p).alias("record_id"), "url", (p * 10).alias("time"), F.lit("response").alias("type"),
+        headers(ETag=F.when((p % 5).isin(0, 1, 4), F.col("version")), Last_Modified=F.when((p % 5).isin(1, 2), text("m", F.col("version"))),
+                Content_Type=F.lit("text/html"), Content_Length=F.length("html").cast("string"), Cache_Control=F.lit("max-age=60")).alias("headers"),
+        F.when(p % 5 != 2, F.md5("version")).alias("digest"), F.col("html").alias("payload"))
+    other_spelling = F.when(third == 0, F.lit("https://www.HOT.example.org:443")).otherwise(F.concat("url", F.lit("#again")))
+    tag = F.when(p % 11 == 0, F.lit("stale")).otherwise(text("W/", F.col("version")))
+    again = base.select("page_id", "version", other_spelling.alias("url"), F.explode(
+        F.when(p % 7 == 0, F.array(F.lit("v"), F.lit("w"))).otherwise(F.array(F.lit("v")))).alias("kind"))
+    again = again.select(
+        F.concat("kind", p.cast("string")).alias("record_id"), "url", (p * 10 + F.when(F.col("kind") == "v", 25).otherwise(-5)).alias("time"),
+        F.lit("revisit").alias("type"),
+        headers(etag=F.when((p % 6).isin(0, 1), tag), last_modified=F.when((p % 6).isin(1, 2), text("m", F.col("version"))),
+                content_length=F.lit("0"), cache_control=F.lit("max-age=90"), Date=p.cast("string")).alias("headers"),
+        F.when((p % 6).isin(0, 3), F.md5("version")).when(p % 6 == 5, F.lit("other")).alias("digest"),
+        F.lit(None).cast("string").alias("payload"))
     return full.union(again)
 
 
 ORACLE_SQL = r"""
-WITH k AS (
-  SELECT page_id, html, md5(coalesce(html, '')) AS tag,
-         regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(
-           regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 2), '^[^@]*@', '')), ':(80|443)?$', ''), '^www\.', ''), '$', '')
-         || regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '')
-         || CASE WHEN length(regexp_extract(url, '^[^?#]*(\?[^#]*)?', 1)) > 1
-            THEN '?' || array_to_string(list_sort(string_split(substring(regexp_extract(url, '^[^?#]*(\?[^#]*)?', 1), 2), '&')), '&') ELSE '' END AS key
+WITH base AS (
+  SELECT page_id AS p, html,
+         CASE WHEN page_id % 3 = 1 THEN 'e' || page_id ELSE 'e' || (page_id // 6) END AS version,
+         CASE WHEN page_id % 3 = 0 THEN 'hot.example.org' WHEN page_id % 3 = 2 THEN 'site' || (page_id // 8) || '.example.org/a?x=1&y=2' ELSE
+           regexp_replace(regexp_replace(lower(regexp_replace(
+             regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 2), '^[^@]*@', '')), ':(80|443)?$', ''), '^www\.', '')
+           || regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '')
+           || CASE WHEN length(regexp_extract(url, '^[^?#]*(\?[^#]*)?', 1)) > 1
+              THEN '?' || array_to_string(list_sort(string_split(substring(regexp_extract(url, '^[^?#]*(\?[^#]*)?', 1), 2), '&')), '&') ELSE '' END END AS key
   FROM pages),
+r AS (
+  SELECT p, key, p * 10 AS time, html, CASE WHEN p % 5 IN (0, 1, 4) THEN version END AS etag,
+         CASE WHEN p % 5 IN (1, 2) THEN 'm' || version END AS modified, CASE WHEN p % 5 <> 2 THEN md5(version) END AS digest FROM base),
+v AS (
+  SELECT kind || p AS id, p, key, p * 10 + CASE kind WHEN 'v' THEN 25 ELSE -5 END AS time,
+         CASE WHEN p % 6 IN (0, 1) THEN CASE WHEN p % 11 = 0 THEN 'stale' ELSE 'W/' || version END END AS etag,
+         CASE WHEN p % 6 IN (1, 2) THEN 'm' || version END AS modified,
+         CASE WHEN p % 6 IN (0, 3) THEN md5(version) WHEN p % 6 = 5 THEN 'other' END AS digest
+  FROM base, (VALUES ('v'), ('w')) AS k(kind) WHERE kind = 'v' OR p % 7 = 0),
 j AS (
-  SELECT v.page_id, v.key, v.page_id * 10 + 25 AS time, max(r.page_id) AS found
-  FROM k v LEFT JOIN k r ON r.key = v.key AND r.page_id * 10 < v.page_id * 10 + 25
-  WHERE v.page_id % 2 = 0 GROUP BY ALL)
-SELECT 'v' || j.page_id AS revisit_id, j.key AS url_key, j.time, 'r' || j.found AS response_id,
-       CASE WHEN j.found IS NULL THEN 'no_response'
-            WHEN CASE WHEN j.page_id % 8 = 0 THEN 'stale' ELSE v.tag END = r.tag THEN 'resolved' ELSE 'mismatch' END AS status,
-       CASE WHEN CASE WHEN j.page_id % 8 = 0 THEN 'stale' ELSE v.tag END = r.tag THEN
-         'cache-control: max-age=90|content-length: ' || length(r.html) || '|content-type: text/html|date: ' || j.page_id || '|etag: W/' || v.tag END AS headers,
-       CASE WHEN CASE WHEN j.page_id % 8 = 0 THEN 'stale' ELSE v.tag END = r.tag THEN md5(r.html) END AS digest
-FROM j JOIN k v USING (page_id) LEFT JOIN k r ON r.page_id = j.found
+  SELECT v.*, r.p AS rp, r.html, r.etag AS retag, r.modified AS rmodified, r.digest AS rdigest
+  FROM v ASOF LEFT JOIN r ON v.key = r.key AND v.time > r.time),
+s AS (
+  SELECT *, CASE WHEN rp IS NULL THEN 'no_response'
+                 WHEN etag IS NOT NULL AND retag IS NOT NULL THEN CASE WHEN regexp_replace(etag, '^W/', '') = retag THEN 'resolved' ELSE 'mismatch' END
+                 WHEN modified IS NOT NULL AND rmodified IS NOT NULL THEN CASE WHEN modified = rmodified THEN 'resolved' ELSE 'mismatch' END
+                 WHEN digest = rdigest THEN 'resolved' WHEN digest <> rdigest THEN 'mismatch' ELSE 'unverifiable' END AS status FROM j)
+SELECT id AS revisit_id, key AS url_key, time, 'r' || rp AS response_id, status,
+       CASE WHEN status = 'resolved' THEN concat_ws('|', 'cache-control: max-age=90', 'content-length: ' || length(html), 'content-type: text/html',
+         'date: ' || p, 'etag: ' || coalesce(etag, retag), 'last-modified: ' || coalesce(modified, rmodified)) END AS headers,
+       CASE WHEN status = 'resolved' THEN rdigest END AS digest
+FROM s
 """
