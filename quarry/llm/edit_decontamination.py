@@ -16,7 +16,8 @@ with A-Z lower-cased, so case, punctuation and spacing do not hide a leak.
 
 Defined results
 * null or empty document text: no match. Null document id: matched, id null.
-* null item text or an item of fewer than ``MIN_WORDS`` words: not searched.
+* null item text or an item without a word: never found. Items of any length
+  of one word or more are searched; short ones (no edit allowed) word for word.
 * repeated items: each id is reported. Repeated document rows: each matches.
 * ties: of equal distances in a document the first place is reported.
 * very long texts: hashed in bounded pieces; only hits are verified.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import ALNUM, U64, groups, prepared, rolling, words_of
 
 EDIT_RATE = 0.15
-MIN_WORDS = 8
+MIN_WORDS = 1
 BLOCK_BYTES = 8 << 20
 TABLE_BITS = 20
 
@@ -110,7 +111,7 @@ class PieceIndex:
         for item_id, text in items:
             w = words_of([text], ALNUM, lower=True)
             m = len(w.hash)
-            if m < min_words:
+            if m < max(min_words, 1):
                 continue
             k = budget(m, rate)
             ws = w.bytes_of(0, m)
