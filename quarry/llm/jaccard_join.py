@@ -17,8 +17,12 @@ of all links without listing the pairs of a group.
 3. Index-level relation: each member is checked against the smallest member
    of its block and of the block below only. Links found hang a document under a
    *head*, with the exact D to it, and join components.
-4. Answer-level relation: lists that still span several components give the
-   pairs between components. The answer of a pair (x, z) is derived from the
+4. Lists that still span several components are cut into blocks of about
+   ``BLOCK`` members, and blocks meet: inside a meeting size, position, component
+   and parity map are tested as arrays, and only pairs that pass all leave
+   it. A list of any length is spread over many meetings, and members that share
+   a passage and little else are never listed as pairs.
+5. Answer-level relation: the answer of a pair (x, z) is derived from the
    answer of their heads: D(x, z) lies within D(hx, hz) +- (D(x, hx) +
    D(z, hz)). Only pairs this cannot decide are verified one by one.
 
@@ -34,8 +38,7 @@ Defined results
   its own component.
 * fewer than five words: the whole sequence is one shingle.
 * null id: counted (n_shingles), component null; never linked.
-* repeated rows: one component. The id is taken as a key: of rows with one id
-  but different texts, links of one text may be missing.
+* repeated rows: rows of one id are one node, whatever their texts.
 * ties: the smallest id names a component.
 * very long texts: hashing works on bounded pieces; one document's set is held by one task.
 * extra columns: only id and text are read. Empty table: no rows.
@@ -57,6 +60,8 @@ HOT_LIMIT = 500_000
 # Beyond so many ids the texts of candidates are found by a shuffled join.
 BROADCAST_IDS = 1_000_000
 MAPS = [f"m{i}" for i in range(8)]
+# Members of a block of an index list.
+BLOCK = 256
 
 SETS = ("doc_id long, n long, level int, f1 long, f2 long, " + ", ".join(f"{m} long" for m in MAPS)
         + ", prefix array<long>")
@@ -87,6 +92,13 @@ def _sets_of(texts, width):
             yield lo + i, shingles(w.hash[w.first[i]:w.first[i + 1]], width)
 
 
+def fingerprint(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set of hashes, as two signed numbers."""
+    m = mix(s)
+    two = np.array([m.sum(dtype=U64), np.bitwise_xor.reduce(mix(m ^ U64(0x2545F4914F6CDD1D))) if len(s) else U64(0)], U64).view(np.int64)
+    return int(two[0]), int(two[1])
+
+
 def _signed(x) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, dtype=U64).view(np.int64))
 
@@ -118,7 +130,7 @@ def shingle_sets(docs: DataFrame, hot: np.ndarray, width: int = SHINGLE) -> Data
             for _, s in _sets_of(batch["text"].to_pylist(), width):
                 n.append(len(s))
                 m = mix(s)
-                prints.append((m.sum(dtype=U64), np.bitwise_xor.reduce(mix(m ^ U64(0x2545F4914F6CDD1D))) if len(s) else U64(0)))
+                prints.append(fingerprint(s))
                 bit = np.bincount((m >> U64(55)).astype(np.int64), minlength=512) & 1
                 maps.append(np.packbits(bit.astype(np.uint8), bitorder="little").view(np.int64))
                 size = len(s) - -(-4 * len(s) // 5) + 1 if len(s) else 0
@@ -128,10 +140,10 @@ def shingle_sets(docs: DataFrame, hot: np.ndarray, width: int = SHINGLE) -> Data
                     s = np.concatenate((s[~is_hot], s[is_hot]))
                 prefixes.append(s[:size].view(np.int64))
             grid = np.array(maps, dtype=np.int64).reshape(-1, 8)
-            f = np.array(prints, dtype=U64).reshape(-1, 2)
+            f = np.array(prints, dtype=np.int64).reshape(-1, 2)
             yield pa.record_batch(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array((np.searchsorted(LEVELS, n, "right") - 1).astype(np.int32)), _signed(f[:, 0]), _signed(f[:, 1]),
+                 pa.array((np.searchsorted(LEVELS, n, "right") - 1).astype(np.int32)), pa.array(np.ascontiguousarray(f[:, 0])), pa.array(np.ascontiguousarray(f[:, 1])),
                  *[pa.array(np.ascontiguousarray(grid[:, k])) for k in range(8)],
                  pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)),
                                           pa.array(np.concatenate([np.empty(0, np.int64), *prefixes])))],
@@ -140,13 +152,12 @@ def shingle_sets(docs: DataFrame, hot: np.ndarray, width: int = SHINGLE) -> Data
     return prepared(docs).select("doc_id", "text").mapInArrow(describe, SETS)
 
 
-def index_lists(sets: DataFrame) -> DataFrame:
-    """(token, doc_id, n, rest, level) of the prefix shingles that two documents
-    or more have; rest = shingles of the document from this place on."""
-    rows = (sets.where("n > 0 and doc_id is not null")
-            .select("doc_id", F.posexplode("prefix").alias("pos", "token"), "n", "level")
-            .select("token", "doc_id", "n", (F.col("n") - F.col("pos")).alias("rest"), "level"))
-    alive = rows.groupBy("token").agg((F.min("doc_id") < F.max("doc_id")).alias("alive")).where("alive").select("token")
+def index_lists(classes: DataFrame) -> DataFrame:
+    """(token, c, n, rest, level) of the prefix shingles that two classes
+    or more have; rest = shingles of the class from this place on."""
+    rows = (classes.select("c", F.posexplode("prefix").alias("pos", "token"), "n", "level")
+            .select("token", "c", "n", (F.col("n") - F.col("pos")).alias("rest"), "level"))
+    alive = rows.groupBy("token").agg((F.min("c") < F.max("c")).alias("alive")).where("alive").select("token")
     return stage(rows.join(alive, "token"), "jaccard-lists")
 
 
@@ -158,34 +169,38 @@ def _fits(n_a, rest_a, n_b, rest_b):
 
 def near_by_map(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes whose parity maps do not rule a link out."""
-    left = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.array(*MAPS).alias("ma"))
-    right = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.array(*MAPS).alias("mb"))
+    left = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.array(*MAPS).alias("ma"))
+    right = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.array(*MAPS).alias("mb"))
     differ = sum((F.bit_count(F.col("ma")[k].bitwiseXOR(F.col("mb")[k])) for k in range(8)), F.lit(0))
     return (pairs.join(left, "a").join(right, "b")
             .where((5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb")) & (9 * differ <= F.col("na") + F.col("nb")))
             .select("a", "b", "na", "nb"))
 
 
-def candidate_sets(docs: DataFrame, ids: DataFrame, width: int = SHINGLE, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """(doc_id, s) with the packed sorted shingle hashes of the documents in ``ids`` (node)."""
-    small = broadcast_ids and ids.limit(broadcast_ids + 1).count() <= broadcast_ids
-    wanted = ids.select(F.col("node").alias("doc_id"))
-    rows = docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").select("doc_id", "text")
+def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int = SHINGLE, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """(c, s) with the packed sorted shingle hashes of the classes ``wanted`` (c, doc_id, f1, f2)."""
+    small = broadcast_ids and wanted.limit(broadcast_ids + 1).count() <= broadcast_ids
+    rows = docs.join(F.broadcast(wanted) if small else wanted, "doc_id").select("c", "f1", "f2", "text")
 
     def pack(batches):
         for batch in batches:
-            found = [s.tobytes() for _, s in _sets_of(batch["text"].to_pylist(), width)]
-            yield pa.record_batch([batch["doc_id"], pa.array(found, pa.binary())], names=["doc_id", "s"])
+            found, ok = [], []
+            prints = zip(batch["f1"].to_pylist(), batch["f2"].to_pylist(), strict=True)
+            for (_, s), want in zip(_sets_of(batch["text"].to_pylist(), width), prints, strict=True):
+                ok.append(len(s) > 0 and fingerprint(s) == want)  # another text may have the same id
+                found.append(s.tobytes())
+            yield pa.record_batch([batch["c"], pa.array(found, pa.binary())], names=["c", "s"]).filter(pa.array(ok, pa.bool_()))
 
-    return prepared(rows).mapInArrow(pack, "doc_id long, s binary")
+    return prepared(rows).mapInArrow(pack, "c long, s binary")
 
 
-def differences(pairs: DataFrame, docs: DataFrame, width: int = SHINGLE, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """Exact symmetric difference ``d`` of the pairs (a, b, na, nb)."""
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stage(candidate_sets(docs, stage(ids, "jaccard-ids"), width, broadcast_ids).dropDuplicates(["doc_id"]), "jaccard-sets")
-    rows = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b"))
+def differences(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int = SHINGLE, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """Exact symmetric difference ``d`` of the pairs of classes (a, b, na, nb)."""
+    ids = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
+    wanted = stage(ids.join(classes.select("c", F.col("rep").alias("doc_id"), "f1", "f2"), "c"), "jaccard-ids")
+    sets = stage(candidate_sets(docs, wanted, width, broadcast_ids).dropDuplicates(["c"]), "jaccard-sets")
+    rows = (pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b"))
 
     def compare(batches):
         for batch in batches:
@@ -204,53 +219,76 @@ def differences(pairs: DataFrame, docs: DataFrame, width: int = SHINGLE, broadca
 LINK = "9 * d <= na + nb"
 
 
-def join_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, member: DataFrame, width: int = SHINGLE,
+def cross_pairs(open_lists: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b, na, nb): pairs of classes of different components that meet in a list
+    and that size, position and parity map do not rule out. ``open_lists``:
+    (token, c, n, rest, level, component)."""
+    size = open_lists.groupBy("token", "level").agg(F.ceil(F.count("*") / block).alias("k"))
+    member = F.struct("c", "n", "rest", "component", *MAPS)
+    blocks = (open_lists.join(classes.select("c", *MAPS), "c").join(size, ["token", "level"])
+              .groupBy("token", "level", F.pmod(F.xxhash64("c"), "k").alias("blk")).agg(F.collect_list(member).alias("t")))
+    blocks = stage(blocks.select("token", "level", "blk", *[F.col(f"t.{x}").alias(x) for x in ["c", "n", "rest", "component", *MAPS]]), "jaccard-blocks")
+    names = ["c", "n", "rest", "component", *MAPS]
+    left = blocks.select("token", "level", "blk", *[F.col(x).alias(f"{x}_a") for x in names])
+    right = blocks.select("token", F.col("level").alias("level_b"), F.col("blk").alias("blk_b"), *[F.col(x).alias(f"{x}_b") for x in names])
+
+    def meet(batches):
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                get = lambda x: batch[x][i].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
+                na, nb, ra, rb = get("n_a")[:, None], get("n_b")[None, :], get("rest_a")[:, None], get("rest_b")[None, :]
+                ok = ((5 * np.minimum(na, nb) >= 4 * np.maximum(na, nb)) & (9 * np.minimum(ra, rb) >= 4 * (na + nb))
+                      & (get("component_a")[:, None] != get("component_b")[None, :]))
+                x, y = np.nonzero(ok)
+                differ = sum(np.bitwise_count(get(f"{m}_a").view(U64)[x] ^ get(f"{m}_b").view(U64)[y]).astype(np.int64) for m in MAPS)
+                near = 9 * differ <= na[x, 0] + nb[0, y]
+                out.append(np.stack([get("c_a")[x[near]], get("c_b")[y[near]], na[x[near], 0], nb[0, y[near]]], 1))
+            found = np.concatenate(out) if out else np.empty((0, 4), np.int64)
+            flip = found[:, 0] < found[:, 1]
+            found[flip] = found[flip][:, [1, 0, 3, 2]]
+            yield pa.record_batch([pa.array(np.ascontiguousarray(found[:, k])) for k in range(4)], names=["a", "b", "na", "nb"])
+
+    columns = [f"{x}_{side}" for side in "ab" for x in names]
+    met = left.join(right, "token").where("(level = level_b and blk <= blk_b) or level = level_b + 1").select(*columns)
+    return prepared(met).mapInArrow(meet, "a long, b long, na long, nb long").distinct()
+
+
+def join_classes(docs: DataFrame, classes: DataFrame, given: DataFrame, width: int = SHINGLE,
                  broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """Links (a, b) between class representatives that connect all classes
-    that any chain of links connects. ``member``: doc_id -> rep."""
-    lists = index_lists(sets)
-    low = lists.groupBy("token", "level").agg(F.min(F.struct("doc_id", "n", "rest")).alias("p"))
+    """Links (a, b) between classes that, with the edges ``given``, connect all
+    classes that any chain of links and given edges connects."""
+    lists = index_lists(classes)
+    low = lists.groupBy("token", "level").agg(F.min(F.struct("c", "n", "rest")).alias("p"))
     # the block's own smallest member, and that of the block one level below
     heads = low.select("token", "level", "p").union(low.select("token", (F.col("level") + 1).alias("level"), "p"))
-    star = (lists.join(heads, ["token", "level"]).where(F.col("doc_id") != F.col("p.doc_id"))
+    star = (lists.join(heads, ["token", "level"]).where(F.col("c") != F.col("p.c"))
             .where(_fits(F.col("n"), F.col("rest"), F.col("p.n"), F.col("p.rest")))
-            .select(F.col("doc_id").alias("x"), F.col("p.doc_id").alias("y")).distinct())
-    ra, rb = member.select(F.col("doc_id").alias("x"), F.col("rep").alias("a")), member.select(F.col("doc_id").alias("y"), F.col("rep").alias("b"))
-    pairs = (star.join(ra, "x").join(rb, "y").where("a <> b")
-             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    first = stage(differences(stage(near_by_map(pairs, classes), "jaccard-star"), docs, width, broadcast_ids), "jaccard-first")
-    links = first.where(LINK).select("a", "b")
+            .select(F.greatest("c", "p.c").alias("a"), F.least("c", "p.c").alias("b")).distinct())
+    first = stage(differences(stage(near_by_map(star, classes), "jaccard-star"), docs, classes, width, broadcast_ids), "jaccard-first")
+    links = first.where(LINK).select("a", "b").union(given)
     # head of a class: the smallest class it links with so far, with the exact difference
     head = first.where(LINK).groupBy("a").agg(F.min(F.struct("b", "d")).alias("h")).select(
-        F.col("a").alias("rep"), F.col("h.b").alias("head"), F.col("h.d").alias("dh"))
-    comp = components(links).withColumnRenamed("node", "rep")
-    known = stage(classes.select("rep", "n").join(comp, "rep", "left").join(head, "rep", "left").select(
-        "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("head", "rep").alias("head"),
+        F.col("a").alias("c"), F.col("h.b").alias("head"), F.col("h.d").alias("dh"))
+    comp = components(links).withColumnRenamed("node", "c")
+    known = stage(classes.select("c").join(comp, "c", "left").join(head, "c", "left").select(
+        "c", F.coalesce("component", "c").alias("component"), F.coalesce("head", "c").alias("head"),
         F.coalesce("dh", F.lit(0)).alias("dh")), "jaccard-known")
 
     # lists that still span several components
-    mine = lists.join(known.select(F.col("rep").alias("doc_id"), "component"), "doc_id")
+    mine = lists.join(known.select("c", "component"), "c")
     open_tokens = mine.groupBy("token").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("token")
-    mine = stage(mine.join(open_tokens, "token"), "jaccard-open")
-    other = mine.select(*[F.col(c).alias(f"{c}_") for c in mine.columns])
-    cross = None
-    for step in (0, 1):  # same block, and the block one level below
-        got = (mine.join(other, (F.col("token") == F.col("token_")) & (F.col("level") == F.col("level_") + step))
-               .where("component <> component_" + (" and doc_id > doc_id_" if step == 0 else ""))
-               .where(_fits(F.col("n"), F.col("rest"), F.col("n_"), F.col("rest_")))
-               .select(F.greatest("doc_id", "doc_id_").alias("a"), F.least("doc_id", "doc_id_").alias("b")))
-        cross = got if cross is None else cross.union(got)
-    cross = near_by_map(cross.distinct(), classes).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    ha, hb = known.select(F.col("rep").alias("a"), F.col("head").alias("ha"), F.col("dh").alias("da")), \
-        known.select(F.col("rep").alias("b"), F.col("head").alias("hb"), F.col("dh").alias("db"))
+    cross = cross_pairs(stage(mine.join(open_tokens, "token"), "jaccard-open"), classes).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    ha, hb = known.select(F.col("c").alias("a"), F.col("head").alias("ha"), F.col("dh").alias("da")), \
+        known.select(F.col("c").alias("b"), F.col("head").alias("hb"), F.col("dh").alias("db"))
     cross = stage(cross.join(ha, "a").join(hb, "b"), "jaccard-cross")
     if not cross.limit(1).count():
         return links
-    size = classes.select("rep", "n")
+    size = classes.select("c", "n")
     top = (cross.select(F.greatest("ha", "hb").alias("a"), F.least("ha", "hb").alias("b")).distinct()
-           .join(size.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a")
-           .join(size.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b"))
-    answers = stage(differences(stage(top, "jaccard-heads"), docs, width, broadcast_ids), "jaccard-answers")
+           .join(size.select(F.col("c").alias("a"), F.col("n").alias("na")), "a")
+           .join(size.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b"))
+    answers = stage(differences(stage(top, "jaccard-heads"), docs, classes, width, broadcast_ids), "jaccard-answers")
     derived = stage(cross.withColumns({"p": F.greatest("ha", "hb"), "q": F.least("ha", "hb")}).join(
         answers.select(F.col("a").alias("p"), F.col("b").alias("q"), "d"), ["p", "q"])
         .withColumns({"most": F.col("d") + F.col("da") + F.col("db"), "least": F.col("d") - F.col("da") - F.col("db")}), "jaccard-derived")
@@ -258,7 +296,7 @@ def join_classes(docs: DataFrame, sets: DataFrame, classes: DataFrame, member: D
     unsure = derived.where("9 * most > na + nb and 9 * least <= na + nb").select("a", "b", "na", "nb")
     links = links.union(sure)
     if unsure.limit(1).count():
-        links = links.union(differences(unsure, docs, width, broadcast_ids).where(LINK).select("a", "b"))
+        links = links.union(differences(unsure, docs, classes, width, broadcast_ids).where(LINK).select("a", "b"))
     return links
 
 
@@ -269,11 +307,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = stage(shingle_sets(rows, frequent_shingles(rows, width), width), "jaccard-sets")
     filled = sets.where("n > 0 and doc_id is not null")
     label = ["f1", "f2", "n"]
-    classes = stage(filled.groupBy(*label, *MAPS).agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    member = stage(filled.select("doc_id", *label).join(classes.select(*label, "rep"), label).select("doc_id", "rep").distinct(),
-                   "jaccard-member")
-    links = join_classes(rows, sets, classes, member, width, broadcast_ids)
-    comp = components(links.union(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
-    return (sets.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(comp.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    classes = stage(filled.groupBy(*label).agg(F.min("doc_id").alias("rep"), *[F.first(x).alias(x) for x in ["level", *MAPS, "prefix"]])
+                    .withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
+    member = stage(filled.select("doc_id", *label).join(classes.select(*label, "c"), label).select("doc_id", "c").distinct(), "jaccard-member")
+    # an id with several texts ties their classes together
+    tied = member.groupBy("doc_id").agg(F.min("c").alias("b"), F.max("c").alias("most")).where("b < most").select("doc_id", "b")
+    given = stage(member.join(tied, "doc_id").where("c <> b").select(F.col("c").alias("a"), "b").distinct(), "jaccard-tied")
+    comp = components(join_classes(rows, classes, given, width, broadcast_ids))
+    known = stage(classes.select("c", "rep").join(comp.withColumnRenamed("node", "c"), "c", "left")
+                  .withColumn("component", F.coalesce("component", "c")), "jaccard-named")
+    root = known.groupBy("component").agg(F.min("rep").alias("component_id"))
+    by_id = (member.join(known.join(root, "component").select("c", "component_id"), "c")
+             .groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
+    return (sets.select("doc_id", F.col("n").alias("n_shingles")).join(by_id, "doc_id", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
