@@ -105,6 +105,27 @@ def test_jaccard_matches_brute_force(spark, seed, monkeypatch):
     assert got == brute_jaccard(rows)
 
 
+def test_jaccard_rows_of_one_id_are_one_node(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(2, b), (5, a + " q"), (5, b + " q"), (1, a), (7, a + " q"), (5, None), (9, "")]
+    got = {(r[0], r[2]) for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (7, 1), (9, 9)}
+
+
+def test_jaccard_documents_with_one_passage_are_not_paired(spark, monkeypatch):
+    """A passage in every text and nothing else in common, no list of frequent
+    shingles to help: blocks of members meet, hardly any pair leaves them."""
+    monkeypatch.setattr(jaccard_join, "HOT_SEEN", 1 << 40)
+    rnd, seen = random.Random(4), []
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, " ".join(f"x{rnd.randrange(10 ** 7)}" for _ in range(120)) + " " + passage) for i in range(1000)]
+    real = jaccard_join.cross_pairs
+    monkeypatch.setattr(jaccard_join, "cross_pairs", lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert all(r.doc_id == r.component_id for r in out) and len(out) == 1000
+    assert seen[0].count() < 1000
+
+
 def test_jaccard_chain_of_edits(spark):
     """Neighbours link, ends do not: heads and derived answers must keep the chain whole."""
     rnd = random.Random(5)
@@ -173,6 +194,13 @@ def test_line_dedup_matches_brute_force(spark):
         assert r.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_clean_keeps_columns_of_any_name(spark):
+    names = ["dropped", "dropped__", "lines", "lines__", "kept", "kept__", "row", "line_no"]
+    rows = [(1, "a line of five words here", *names), (2, "a line of five words here\nmore", *names), (3, None, *names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    assert sorted(map(tuple, line_dedup.clean(df).collect())) == [rows[0], (2, "more", *names), rows[2]]
+
+
 def test_line_dedup_edge_rows(spark):
     out = line_dedup.dedup(edge(spark, extra=True)).collect()
     assert len(out) == len(EDGE)
@@ -193,7 +221,7 @@ def brute_leaks(docs, items, rate):
         ws = tok(text)
         for j, item in items:
             pat = tok(item)
-            if item is None or len(pat) < decon.MIN_WORDS:
+            if not pat:
                 continue
             row, best = [0] * (len(ws) + 1), None  # the match may begin anywhere
             for i, x in enumerate(pat, 1):
@@ -209,7 +237,8 @@ def brute_leaks(docs, items, rate):
 @pytest.mark.parametrize("rate", [0.0, 0.15, 0.3])
 def test_decontamination_matches_brute_force(spark, rate):
     rnd = random.Random(9)
-    items = [(j, " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(8, 70)))) for j in range(12)] + [(50, None), (51, "too short"), (52, "")]
+    items = [(j, " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(8, 70)))) for j in range(12)] + [(50, None), (51, "two more"), (52, ""), (54, "edit"), (55, "...")]
+    items += [(60 + n, " ".join(items[n][1].split()[:n])) for n in range(1, 8)]
     items.append((53, items[0][1]))
     docs = []
     for i in range(40):
@@ -238,6 +267,12 @@ def test_decontamination_edge_rows(spark):
     assert [x.doc_id for x in decon.clean(hit, b).collect()] == [2]
 
 
+def test_short_items_are_found_word_for_word(spark):
+    b = spark.createDataFrame([(1, "Who wrote the first novel ever?"), (2, "unseen words")], "item_id long, text string")
+    d = spark.createDataFrame([(1, "he asked who wrote the first novel ever and left"), (2, "who wrote the second novel ever")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id, r.distance) for r in decon.leaks(d, b).collect()] == [(1, 1, 0)]
+
+
 # --- 3 revisits
 
 RECORD = "record_id string, url string, time long, type string, headers map<string,string>, digest string, payload string"
@@ -267,6 +302,22 @@ def test_revisit_takes_latest_earlier_response(spark):
     assert out["v3"].payload is None and revisit_resolution.resolve(spark.createDataFrame([], RECORD)).count() == 0
 
 
+def test_repeated_records_are_answered_one_by_one(spark):
+    url, ask = "http://a.com/p", "revisit"
+    rows = [("r1", url, 10, "response", {"etag": "1"}, "d1", "one"), ("r1", url, 20, "response", {"etag": "2"}, "d2", "two"),
+            ("v1", url, 15, ask, {"etag": "1"}, None, None), ("v1", url, 30, ask, {"etag": "2"}, None, None), ("v1", url, 30, ask, {"etag": "1"}, None, None),
+            ("r5", url, 40, "response", {"etag": "5"}, "a", "low"), ("r5", url, 40, "response", {"etag": "6"}, "b", "high"), ("v5", url, 50, ask, {"etag": "6"}, None, None)]
+    out = revisit_resolution.resolve(spark.createDataFrame(rows, RECORD)).collect()
+    assert sorted((r.revisit_id, r.time, r.response_id, r.status, r.payload or "") for r in out) == [
+        ("v1", 15, "r1", "resolved", "one"), ("v1", 30, "r1", "mismatch", ""), ("v1", 30, "r1", "resolved", "two"), ("v5", 50, "r5", "resolved", "high")]
+
+
+def test_derived_captures_meet_every_status(spark):
+    records = revisit_resolution.capture_records(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    n = {r.status: r["count"] for r in revisit_resolution.resolve(records).groupBy("status").count().collect()}
+    assert n.keys() == {"resolved", "mismatch", "unverifiable", "no_response"} and min(n.values()) > 1, n
+
+
 def test_revisits_of_a_hot_url_match_brute_force(spark):
     rnd = random.Random(1)
     rows = [(f"{k}{i}", f"http://h.com/{0 if rnd.random() < 0.7 else rnd.randrange(5)}", rnd.randrange(120), k and {"r": "response", "v": "revisit"}[k],

@@ -1,6 +1,6 @@
 """The pipeline's stages against brute-force versions, each on its own input."""
 
-from helpers import edge
+from helpers import EDGE, edge
 from test_dedup import brute_jaccard, brute_leaks, brute_lines
 
 import __spark_entry__ as entry
@@ -34,9 +34,8 @@ def test_stages(spark):
     assert texts(single) == want
     clean = cp.benchmark(spark, single, SF).cache()
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    dirty = {d for d, _ in brute_leaks([(i, t) for i, t in want if any(w in t.lower() for w in ("",))], items[:10], decon.EDIT_RATE)}
     left = {r.doc_id for r in clean.collect()}
-    assert not dirty & left and left <= {i for i, _ in want}
+    assert left == {i for i, _ in want} - {d for d, _ in brute_leaks(want, items, decon.EDIT_RATE)}
     out = cp.pieces(spark, clean, SF).collect()
     assert all(r.exact for r in out) and sorted(r.doc_id for r in out) == sorted(left)
     for df in (good, lined, single, clean):
@@ -73,12 +72,35 @@ def test_run_matches_brute_force_with_planted_leaks(spark, tmp_path):
 
 
 def test_stages_keep_edge_rows(spark):
-    rows = edge(spark).selectExpr("doc_id", "text", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars")
+    rows = edge(spark, extra=True).selectExpr("*", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars")
+    columns = rows.columns
     for step in (cp.lines, cp.near_copies, cp.benchmark):
         rows = step(spark, rows, SF)
+        assert rows.columns == columns
+    # 5 has a copy in 6; the rows of 6 are one document
     assert sorted(str(r.doc_id) for r in rows.collect()) == ["1", "2", "3", "4", "5", "7", "8", "None"]
+    assert all(r.label == r.token == r["lines__"] == "z" for r in rows.collect())
+
+
+def test_quality_and_pieces_on_edge_rows_and_empty_tables(spark):
+    rows = edge(spark, extra=True).selectExpr("*", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars")
+    verdict = rule_ensemble.classify(rows, spark.read.parquet(f"{SF}/labels.parquet")).collect()
+    good = cp.quality(spark, rows, SF)
+    assert good.columns == rows.columns
+    assert sorted(str(r.doc_id) for r in good.collect()) == sorted(str(r.doc_id) for r in verdict if r.predicted)
+    out = cp.pieces(spark, rows, SF).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in EDGE) and all(r.exact for r in out)
+    empty = rows.where("false")
+    for name, step in cp.STAGES:
+        assert step(spark, empty, SF).count() == 0, name
+
+
+def test_rows_of_one_id_are_one_document_to_near_copies(spark):
+    rows = [(3, "some other text that stands alone", "x"), (3, "a text which is the smaller one", "y"), (3, "a text which is the smaller one", "y"), (4, None, None)]
+    out = cp.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string, row string"), SF).collect()
+    assert sorted(map(tuple, out)) == [(3, "a text which is the smaller one", "y"), (4, None, None)]
 
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and len([n for n in names if n.startswith("op")]) == 10
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))

@@ -1,7 +1,9 @@
 """Operators 4, 6, 8, 10."""
 
+import math
 import re
 import zlib
+from collections import Counter
 
 import pytest
 from helpers import EDGE, edge, none, words
@@ -70,6 +72,39 @@ def test_rule_ensemble_learns_and_holds_out(spark):
     assert rule_ensemble.keep_good(docs, labels).count() == 300
 
 
+def test_compiled_rules_equal_plain_conditions(spark, small):
+    """The compiled column against the rules and weights applied one by one in plain Python."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    docs = spark.createDataFrame([*small, (9001, None), (9002, ""), (9003, "!!! A|B 12")], "doc_id long, text string")
+    model = rule_ensemble.fit(rule_ensemble.training_rows(docs, labels))
+    assert len(model.weights) > 3 and any(len(r) > 1 for r in model.weights)
+    rows = rule_ensemble.statistics(docs).select("doc_id", *rule_ensemble.FEATURES, model.score().alias("score")).collect()
+    for r in rows:
+        z = model.intercept
+        for rule, w in model.weights.items():
+            if all((r[c.feature] > c.bound) if c.above else (r[c.feature] <= c.bound) for c in rule):
+                z += w
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12)
+    assert {r.doc_id: r.score for r in rule_ensemble.classify(docs, labels).collect()} == pytest.approx({r.doc_id: r.score for r in rows})
+
+
+def brute_statistics(text):
+    t, ws = text or "", words(text)
+    n, c, lines = max(len(ws), 1), max(len(t), 1), t.split("\n")
+    return {"log_words": math.log1p(len(ws)), "word_chars": len(t) / n, "caps": sum(x in rule_ensemble.UPPER for x in t) / c,
+            "digits": sum(x in "0123456789" for x in t) / c, "marks": sum(x in rule_ensemble.MARKS for x in t) / n,
+            "bangs": sum(x in "!?" for x in t) / n, "bars": t.count("|") / n, "types": len(set(ws)) / n,
+            "same_as_last": sum(a == b for a, b in zip(ws, ws[1:])) / n, "function_words": len(set(ws) & set(rule_ensemble.FUNCTION_WORDS)),
+            "line_words": len(ws) / len(lines), "dup_lines": 1 - len(set(lines)) / len(lines)}
+
+
+def test_statistics_match_brute_force(spark, small):
+    rows = [*small, *[(9000 + i, t) for i, (_, t) in enumerate(EDGE)]]
+    got = {r.doc_id: r for r in rule_ensemble.statistics(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert {f: got[i][f] for f in rule_ensemble.FEATURES} == pytest.approx(brute_statistics(t), abs=1e-9), i
+
+
 def test_rule_ensemble_edge_rows(spark):
     docs, labels = make_labelled(spark, 60)
     out = rule_ensemble.classify(edge(spark, extra=True).unionByName(docs, allowMissingColumns=True), labels).collect()
@@ -118,6 +153,61 @@ def test_license_edge_rows(spark):
 
 # --- 8 language mixture
 
+def brute_trigrams(text):
+    s = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    s = re.sub(" +", " ", f" {s} ")
+    key = lambda a, b, c: ((ord(a) << 42 | ord(b) << 21 | ord(c)) * 0x9E3779B97F4A7C15 % (1 << 64)) >> 48
+    return Counter(key(*s[i:i + 3]) for i in range(len(s) - 2))
+
+
+def brute_mixture(likelihood, langs, grams):
+    """Greedy penalised mixture by plain loops; ``likelihood(lang, gram)``."""
+    total = sum(grams.values())
+
+    def em(chosen):
+        share = {x: 1 / len(chosen) for x in chosen}
+        for _ in range(language_mixture.EM_ROUNDS):
+            new = dict.fromkeys(chosen, 0.0)
+            for g, n in grams.items():
+                joint = {x: likelihood(x, g) * share[x] for x in chosen}
+                for x in chosen:
+                    new[x] += n * joint[x] / sum(joint.values())
+            share = {x: v / total for x, v in new.items()}
+        return sum(n * math.log(sum(likelihood(x, g) * share[x] for x in chosen)) for g, n in grams.items()), share
+
+    single = {x: sum(n * math.log(likelihood(x, g)) for g, n in grams.items()) for x in langs}
+    best = max(langs, key=lambda x: single[x])
+    everything = em(langs)[1]
+    chosen, level, share = [best], single[best], {best: 1.0}
+    price = language_mixture.PENALTY * math.log(total + 1)
+    for x in sorted((x for x in langs if x != best), key=lambda x: -everything[x]):
+        trial, weights = em([*chosen, x])
+        if trial - price * len(chosen) <= level - price * (len(chosen) - 1):
+            break
+        chosen, level, share = [*chosen, x], trial, weights
+    return share
+
+
+def test_mixtures_match_brute_force(spark, small):
+    langs = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    by = {x: [t for i, t in small if langs[i] == x] for x in sorted({x for x in langs.values() if x})}
+    rows = [(i, t, langs[i]) for i, t in small[:120]]
+    texts = [t for ts in by.values() for t in ts[:2]] + [" ".join(ts[0][:1500] for ts in list(by.values())[:2]), "x", "9 9", ""]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {x: Counter() for x in sorted({x for _, _, x in rows if x})}
+    for i, t, x in rows:
+        if x and not held_out(i):
+            counts[x].update(brute_trigrams(t))
+    size = {x: sum(c.values()) + language_mixture.SMOOTHING * language_mixture.BUCKETS for x, c in counts.items()}
+    likelihood = lambda x, g: (counts[x][g] + language_mixture.SMOOTHING) / size[x]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: dict(zip(r.languages, r.proportions)) for r in language_mixture.identify(asked, language_mixture.learn(docs)).collect()}
+    for i, t in enumerate(texts):
+        grams = brute_trigrams(t)
+        assert got[i] == (pytest.approx(brute_mixture(likelihood, list(counts), grams), abs=1e-6) if any(c.isalpha() for c in t) else {}), t[:40]
+    assert max(len(x) for x in got.values()) > 1
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     out = language_mixture.identify(docs, language_mixture.learn(docs)).join(docs, "doc_id").where("held_out").collect()
