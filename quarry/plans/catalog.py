@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators import boundaries as B
 from quarry.operators import evaluation as E
 from quarry.operators import factorised as FX
 from quarry.operators import features as X
@@ -100,6 +101,20 @@ def q_sentences(spark, sf_dir):
                        T.joined(F.col("w")).alias("words"))
 
 
+def q_abbreviation_scores(spark, sf_dir):
+    """How often each word type of the corpus ends in a period, and its score as an abbreviation."""
+    rows = B.abbreviation_scores(B.type_counts(tables.passages(spark, sf_dir), "passage"))
+    return rows.select("type", "with_period", "without", r6("llr").alias("llr"), r6("score").alias("score"))
+
+
+def q_learned_sentences(spark, sf_dir):
+    """Sentences by boundaries learned from the corpus, counted per passage."""
+    p = tables.passages(spark, sf_dir)
+    known = _shared(spark, ("abbreviations", sf_dir), lambda: durable(B.abbreviations(p, "passage")))
+    rows = B.sentences(p, "pid", "passage", known)
+    return rows.select("pid", F.size("sentences").cast("long").alias("n_sentences"), F.md5(F.array_join("sentences", "\n")).alias("md5"))
+
+
 # --------------------------------------------------------------------- index
 def q_passage_dedup(spark, sf_dir):
     return I.dedup_by_text(tables.passages(spark, sf_dir)).select(
@@ -295,6 +310,16 @@ def q_tsv_bm25_run(spark, sf_dir):
     return files.read_run3(spark, out).select("qid", "pid", r6("score").alias("score"))
 
 
+def q_file_prefix(spark, sf_dir):
+    """The first 400 rows of a TSV of all passages in the order of their ids, later files unread."""
+    path = scratch(spark, "prefix")
+    rows = tables.passages(spark, sf_dir).select(F.col("pid").alias("qid"), "passage").orderBy("qid")
+    files.write_tsv(rows, path)
+    ordered = lambda s, names: files.with_file_order(files.read_queries_tsv(s, names))
+    out = files.read_prefix(spark, ordered, path, 400)
+    return out.select(F.col("qid").alias("pid"), F.md5(F.coalesce("query", F.lit(""))).alias("passage_md5"))
+
+
 def q_corpus_terms(spark, sf_dir):
     """Passages as a text file, one line each per line, read back and counted."""
     path = scratch(spark, "corpus")
@@ -357,10 +382,9 @@ def q_avg_word_vectors(spark, sf_dir):
 
 def q_libsvm_roundtrip(spark, sf_dir):
     rows = embedding_rows(spark, sf_dir)
-    lines = rows.select(X.to_ranking_libsvm(rows, "label", "qid", "features").alias("value"))
-    path = os.path.join(ensure_checkpoint_dir(spark), f"libsvm-{uuid.uuid4().hex[:8]}")
-    lines.write.mode("overwrite").text(path)
-    parsed = X.parse_ranking_libsvm(spark.read.text(path))
+    path = scratch(spark, "libsvm")
+    files.write_ranking_libsvm(rows.withColumn("ord", F.col("vec_id")), path)
+    parsed = files.read_ranking_libsvm(spark, path)
     out = parsed.select("qid", "label", F.posexplode("features").alias("dim", "value"))
     return out.select("qid", "label", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
 
@@ -511,6 +535,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wordlist_html": q_wordlist_html,
     "wordlist_stopwords": q_wordlist_stopwords,
     "sentences": q_sentences,
+    "abbreviation_scores": q_abbreviation_scores,
+    "learned_sentences": q_learned_sentences,
+    "file_prefix": q_file_prefix,
     "passage_dedup": q_passage_dedup,
     "vocabulary": q_vocabulary,
     "zipf": q_zipf,

@@ -10,6 +10,7 @@ Tables available as views: documents, benchmark, labels, pages, embeddings.
 from __future__ import annotations
 
 from quarry.functions import text as T
+from quarry.operators import boundaries as B
 
 
 def _lit(s: str) -> str:
@@ -219,6 +220,38 @@ def avg_word_vectors_sql() -> str:
 LABELLED_BASE = (*BASE, LAB)
 
 
+# Word types of the corpus with and without a final period, and their scores as abbreviations.
+OPENING, CLOSING = _lit(B.OPENING), _lit(B.CLOSING)
+
+
+def token_type(x: str) -> str:
+    return f"lower(rtrim(ltrim({x}, {OPENING}), {CLOSING}))"
+
+
+ABBREVIATIONS = (
+    f"TOK AS (SELECT {token_type('tok')} AS t FROM (SELECT unnest({ws('text')}) AS tok FROM documents))",
+    "TYP AS (SELECT CASE WHEN ends THEN rtrim(t, '.') ELSE t END AS type, ends FROM (SELECT t, ends_with(t, '.') AS ends FROM TOK))",
+    "CNT AS (SELECT type, count(*) FILTER (ends) AS k, count(*) FILTER (NOT ends) AS m FROM TYP "
+    "WHERE regexp_matches(type, '[a-zA-Z]') OR lower(type) <> upper(type) GROUP BY type)",
+    "SHR AS (SELECT sum(k) / sum(k + m) AS p FROM CNT)",
+    "SCO AS (SELECT type, k, m, -2 * (k * ln(p) + m * ln(1 - p) - k * ln(0.99) - m * ln(1 - 0.99)) AS llr, "
+    "length(replace(type, '.', ''))::DOUBLE AS len, length(type) - length(replace(type, '.', '')) AS inner_, p FROM CNT, SHR)",
+    "ABB AS (SELECT type, k, m, llr, CASE WHEN k > 0 THEN llr * exp(-len) * (inner_ + 1) * pow(len, -m) ELSE 0.0 END AS score FROM SCO)",
+)
+LEARNED_SENTENCES = with_(
+    *ABBREVIATIONS,
+    f"PC AS (SELECT pid, unnest(range(len(s))) AS place, unnest(s) AS piece FROM (SELECT doc_id AS pid, list_filter(string_split("
+    f"regexp_replace(regexp_replace(coalesce(text, ''), {_lit(T.EDGE_WS)}, '', 'g'), {_lit(T.SENTENCE_BREAK)}, '\\1' || chr(1), 'g'), chr(1)), "
+    f"lambda t: t <> '') AS s FROM documents))",
+    f"LW AS (SELECT *, {token_type(chr(39).join(['regexp_extract(piece, ', '(' + chr(92) + 'S+)' + chr(92) + 's*$', ', 1)']))} AS t FROM PC)",
+    "GO AS (SELECT pid, place, piece, ends_with(t, '.') AND (rtrim(t, '.') IN (SELECT type FROM ABB WHERE score >= 0.3) "
+    "OR (length(rtrim(t, '.')) = 1 AND lower(rtrim(t, '.')) <> upper(rtrim(t, '.')))) AS goes FROM LW)",
+    "GR AS (SELECT *, coalesce(sum(CASE WHEN goes THEN 0 ELSE 1 END) OVER (PARTITION BY pid ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM GO)",
+    "SE AS (SELECT pid, g, string_agg(piece, ' ' ORDER BY place) AS s FROM GR GROUP BY pid, g)",
+) + ("SELECT d.doc_id AS pid, count(s.s) AS n_sentences, md5(coalesce(string_agg(s.s, chr(10) ORDER BY s.g), '')) AS md5 "
+     "FROM documents d LEFT JOIN SE s ON s.pid = d.doc_id GROUP BY d.doc_id")
+
+
 # Averaged fixture vectors of both texts of every labelled pair, one list a pair.
 def pair_vectors(dim: int = 64) -> tuple[str, ...]:
     voc = ("VOC AS (SELECT term AS word, vec_id FROM (SELECT term, (row_number() OVER (ORDER BY cf DESC, term) - 1) "
@@ -341,6 +374,10 @@ ORACLE: dict[str, str] = {
         f"SELECT doc_id AS pid, list_filter(string_split(regexp_replace(regexp_replace(coalesce(text, ''), "
         f"{_lit(T.EDGE_WS)}, '', 'g'), {_lit(T.SENTENCE_BREAK)}, '\\1' || chr(1), 'g'), chr(1)), lambda t: t <> '') AS s "
         f"FROM documents)))"),
+    "abbreviation_scores": with_(*ABBREVIATIONS) + (
+        f"SELECT type, k::BIGINT AS with_period, m::BIGINT AS without, {r6('llr')} AS llr, {r6('score')} AS score FROM ABB"),
+    "learned_sentences": LEARNED_SENTENCES,
+    "file_prefix": f"SELECT doc_id AS pid, md5({FLAT.format('coalesce(text, ' + chr(39) * 2 + ')')}) AS passage_md5 FROM documents ORDER BY doc_id LIMIT 400",
     "passage_dedup": f"SELECT min(doc_id) AS pid, arg_min({wc('text')}, doc_id)::BIGINT AS word_count, "
                      f"count(*)::BIGINT AS n_copies FROM documents GROUP BY coalesce(text, '')",
     "vocabulary": with_(P, POST) + (
