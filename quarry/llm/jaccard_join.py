@@ -17,11 +17,12 @@ of all links without listing the pairs of a group.
 3. Index-level relation: each member is checked against the smallest member
    of its block and of the block below only. Links found hang a document under a
    *head*, with the exact D to it, and join components.
-4. Lists that still span several components are cut into blocks of about
-   ``BLOCK`` members, and blocks meet: inside a meeting size, position, component
-   and parity map are tested as arrays, and only pairs that pass all leave
-   it. A list of any length is spread over many meetings, and members that share
-   a passage and little else are never listed as pairs.
+4. Lists that still span several components. The members of a list of up to
+   ``SHORT`` are paired where component, size and position allow. A longer list is cut
+   into blocks of about ``BLOCK`` members, and blocks meet: inside a meeting the same
+   tests and the parity map are applied as arrays, and only pairs that pass
+   leave it. A list of any length is spread over many meetings, and members
+   that share a passage and little else are never listed as pairs.
 5. Answer-level relation: the answer of a pair (x, z) is derived from the
    answer of their heads: D(x, z) lies within D(hx, hz) +- (D(x, hx) +
    D(z, hz)). Only pairs this cannot decide are verified one by one.
@@ -60,7 +61,9 @@ HOT_LIMIT = 500_000
 # Beyond so many ids the texts of candidates are found by a shuffled join.
 BROADCAST_IDS = 1_000_000
 MAPS = [f"m{i}" for i in range(8)]
-# Members of a block of an index list.
+# Members of an index list that are paired one by one (so rows grow by a bounded
+# factor), and members of a block of a longer list.
+SHORT = 32
 BLOCK = 256
 
 SETS = ("doc_id long, n long, level int, f1 long, f2 long, " + ", ".join(f"{m} long" for m in MAPS)
@@ -219,10 +222,26 @@ def differences(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: in
 LINK = "9 * d <= na + nb"
 
 
-def cross_pairs(open_lists: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+def cross_pairs(open_lists: DataFrame, classes: DataFrame, short: int = SHORT, block: int = BLOCK) -> DataFrame:
     """(a, b, na, nb): pairs of classes of different components that meet in a list
     and that size, position and parity map do not rule out. ``open_lists``:
     (token, c, n, rest, level, component)."""
+    size = open_lists.groupBy("token").agg(F.count("*").alias("members"))
+    sized = stage(open_lists.join(size, "token"), "jaccard-sized")
+    mine = sized.where(F.col("members") <= short).drop("members")
+    other = mine.select("token", *[F.col(c).alias(f"{c}_") for c in mine.columns if c != "token"])
+    pairs = (mine.join(other, "token").where("(level = level_ and c > c_) or level = level_ + 1").where("component <> component_")
+             .where(_fits(F.col("n"), F.col("rest"), F.col("n_"), F.col("rest_")))
+             .select(F.greatest("c", "c_").alias("a"), F.least("c", "c_").alias("b")))
+    near = near_by_map(pairs.distinct(), classes)
+    long = sized.where(F.col("members") > short).drop("members")
+    if not long.limit(1).count():
+        return near
+    return near.union(met_pairs(long, classes, block)).distinct()
+
+
+def met_pairs(open_lists: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``cross_pairs`` of long lists, by meetings of their blocks."""
     size = open_lists.groupBy("token", "level").agg(F.ceil(F.count("*") / block).alias("k"))
     member = F.struct("c", "n", "rest", "component", *MAPS)
     blocks = (open_lists.join(classes.select("c", *MAPS), "c").join(size, ["token", "level"])
