@@ -101,7 +101,8 @@ class BlockMaxTopK:
 
     def run(self) -> DataFrame:
         """(qid, pid, ord, score, rank)"""
-        self.blocks = self.r._restrict(self.r.index.raw_blocks)
+        # read by every step; kept while the steps run
+        self.blocks = self.r._restrict(self.r.index.raw_blocks).cache()
         terms = durable(self._terms())
         threshold = durable(self._probed(terms))
         every = terms.join(self.r.small(threshold), "qid")
@@ -119,7 +120,8 @@ class BlockMaxTopK:
         survivors = durable(partial.join(self.r.small(left), "qid").where("s + coalesce(rest, 0d) >= threshold").select("qid", "pid", "s"))
         more = self._contributions("rest", survivors, rest).withColumnRenamed("s", "more")
         scored = survivors.join(more, ["qid", "pid"], "left").select("qid", "pid", (F.col("s") + F.coalesce("more", F.lit(0.0))).alias("score"))
-        scored = scored.join(self.r.index.docs.select("pid", "ord"), "pid").select("qid", "pid", "ord", "score")
+        scored = durable(scored.join(self.r.index.docs.select("pid", "ord"), "pid").select("qid", "pid", "ord", "score"))
+        self.blocks.unpersist()
 
         others = durable(self.r.queries.join(threshold.select("qid"), "qid", "left_anti"))
         self.unpruned = others.count()
