@@ -268,11 +268,12 @@ def scratch(spark, name: str) -> str:
 
 # ------------------------------------------------------------- file to run
 def pair_file(spark, sf_dir, labelled_file: bool = False) -> str:
-    """The fixture as a candidate file: every passage under two queries, qid =
-    pid and pid + 1 modulo the number of queries, so every pid repeats."""
-    n = max(tables.queries(spark, sf_dir).count(), 1)
+    """The fixture as a candidate file: every passage under two queries, those with the
+    numbers pid and pid + 1 modulo the number of queries, so every pid repeats."""
+    numbered = global_rank(tables.queries(spark, sf_dir), ["qid"], "no").withColumn("no", F.col("no") - 1)
+    n = max(numbered.count(), 1)
     p = tables.passages(spark, sf_dir).select("pid", "passage", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
-    pairs = p.withColumn("qid", (F.col("pid") + F.col("k")) % n).join(tables.queries(spark, sf_dir), "qid")
+    pairs = p.withColumn("no", (F.col("pid") + F.col("k")) % n).join(numbered, "no")
     if labelled_file:
         hit = F.contains(F.lower(F.coalesce("passage", F.lit(""))), F.lower("query"))
         rows = pairs.select("qid", "pid", F.col("query").alias("queries"), "passage", F.when(hit, 1.0).otherwise(0.0).alias("relevancy"))
