@@ -126,7 +126,7 @@ class BlockMaxTopK:
         others = durable(self.r.queries.join(threshold.select("qid"), "qid", "left_anti"))
         self.unpruned = others.count()
         if self.unpruned:
-            scored = scored.unionByName(Retrieval(self.r.index, others, params=self.r.params).bm25())
+            scored = scored.unionByName(Retrieval(self.r.index, others, params=self.r.params).score("bm25"))
         return top_k_within(scored, ["qid"], [score_key("score"), F.col("ord")], self.k)
 
 

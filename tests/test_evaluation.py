@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,20 @@ def test_scored_summary_matches_single_runs(spark):
     for bound in (100, None):  # one window, and the distributed sort
         got = {r.algoname: (r["map"], r.mean_ndcg) for r in E.scored_summary(df, group_bound=bound, window_rows=100 if bound else 0).collect()}
         assert all(got[a] == pytest.approx(want[a]) for a in want)
+
+
+def test_wide_summary_matches_runs_ranked_one_by_one(spark):
+    """Runs side by side, ranked after one exchange, or one at a time above the window bound."""
+    rng = random.Random(8)
+    rows = [(q, i, float(rng.randrange(9)), rng.random(), float(rel := rng.random() < 0.2), 2.0 * rel if rel else float(rng.random() < 0.3))
+            for q in range(5) for i in range(30)]
+    wide = spark.createDataFrame(rows, "qid long, ord long, a double, b double, relevancy double, grade double")
+    each = None
+    for s in "ab":
+        one = wide.selectExpr(f"'{s}' as algoname", "qid", "ord", f"{s} as score", "relevancy", "grade")
+        each = one if each is None else each.unionByName(one)
+    want = sorted(map(tuple, E.scored_summary(each, group_bound=100).collect()))
+    narrow = E.wide_summary(wide, ["a", "b"], group_bound=100)
+    assert str(narrow._jdf.queryExecution().sparkPlan()).count("Window") == 2 * str(E.scored_summary(each, group_bound=100)._jdf.queryExecution().sparkPlan()).count("Window")
+    for got in (narrow, E.wide_summary(wide, ["a", "b"], group_bound=100, window_rows=10)):
+        assert [x for r in sorted(map(tuple, got.collect())) for x in r] == pytest.approx([x for r in want for x in r])

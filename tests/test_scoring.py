@@ -87,3 +87,35 @@ def test_too_small_n_is_refused(golden):
 def test_shuffled_and_broadcast_query_side_agree(golden):
     r = Retrieval(golden.index, golden.queries, golden.candidates, ScoringParams(broadcast_rows=0))
     assert flat(r.bm25().collect()) == pytest.approx(flat(golden.bm25().collect()))
+
+
+def test_whole_passages_score_like_the_shuffled_shape(spark, tmp_path):
+    """Derived candidates scored passage by passage: same pairs, scores and labels as joins
+    over the pairs, and no exchange; terms shared by several queries, an unknown one, empty texts."""
+    from quarry.sources.labelled import contained_pairs, good_passages, label_candidates
+
+    rows = [(1, "the red fox", 1), (2, "Red red dog.", 2), (3, "blue sky  day", 3), (4, "the old red crow fox fox", 4), (5, "", 5), (6, None, 6)]
+    passages = spark.createDataFrame(rows, "pid long, passage string, ord long")
+    queries = spark.createDataFrame([(1, "red fox fox day"), (2, "the red"), (3, "unknown"), (4, ""), (5, None), (6, "old red")], "qid long, query string")
+    quality = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (4, 1, 1), (2, 0, 0)], "pid long, quality int, toxic int")
+    idx = PassageIndex.build(passages, str(tmp_path / "idx"))
+    whole, pairs = Retrieval(idx, queries), Retrieval(idx, queries, params=ScoringParams(broadcast_rows=0))
+    assert whole.by_passage() and not pairs.by_passage()
+    assert flat(whole.all_scores().collect()) == pytest.approx(flat(pairs.all_scores().collect()))
+    for scorer in EXPECTED:
+        assert flat(whole.score(scorer).collect()) == pytest.approx(flat(pairs.score(scorer).collect())), scorer
+    want = label_candidates(pairs.candidate_pairs(), passages, queries, quality).collect()
+    got = whole.passage_scores([], contained_pairs(passages, queries), good_passages(quality)).collect()
+    assert flat(got) == flat(want)
+    assert "Exchange" not in whole.score("bm25")._jdf.queryExecution().toString()
+
+
+def test_index_tables_are_made_when_asked_for(spark, tmp_path):
+    rows = [(1, "the red fox", 1), (2, "Red red dog.", 2)]
+    idx = PassageIndex.build(spark.createDataFrame(rows, "pid long, passage string, ord long"), str(tmp_path / "idx"))
+    made = lambda: {p.name for p in (tmp_path / "idx").iterdir()}
+    assert made() == {"forward"}
+    df = {r.term: (r.df, r.cf) for r in idx.doc_freq.collect()}
+    assert df["red"] == (2, 3) and made() == {"forward", "doc_freq"}
+    some = [sorted(map(tuple, idx.with_df(idx.postings, bound).collect())) for bound in (100, 2)]
+    assert some[0] == some[1] and len(some[0]) == len(idx.postings.collect())
