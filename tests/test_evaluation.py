@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import evaluation as E
-from quarry.operators.ranking import rank_within, score_key
+from quarry.operators.ranking import rank_by_score, rank_within, score_key
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +100,13 @@ def test_wide_summary_matches_runs_ranked_one_by_one(spark):
     assert str(narrow._jdf.queryExecution().sparkPlan()).count("Window") == 2 * str(E.scored_summary(each, group_bound=100)._jdf.queryExecution().sparkPlan()).count("Window")
     for got in (narrow, E.wide_summary(wide, ["a", "b"], group_bound=100, window_rows=10)):
         assert [x for r in sorted(map(tuple, got.collect())) for x in r] == pytest.approx([x for r in want for x in r])
+
+
+def test_distributed_ranks_are_stored_as_columns_and_sort_a_rounded_score_once(spark):
+    """Hot groups: the order is written compressed, by a key that no comparison rounds anew."""
+    rows = [(q, i, i, s) for q in (1, None) for i, s in enumerate([0.5, 0.5 + 1e-12, None, float("nan"), -1.0, 0.7])]
+    df = spark.createDataFrame(rows, "qid long, pid long, ord long, score double")
+    small, large = (rank_by_score(df, ["qid"], window_rows=w) for w in (100, 0))
+    assert large.columns == small.columns == [*df.columns, "rank"] and large.inputFiles()
+    one, other = ({(r.qid, r.pid): r["rank"] for r in x.collect()} for x in (small, large))
+    assert one == other and [one[1, p] for p in (3, 5, 0, 1, 4, 2)] == [1, 2, 3, 4, 5, 6]
