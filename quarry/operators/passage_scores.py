@@ -130,6 +130,24 @@ def scores_of(q: QuerySide, batch: pa.RecordBatch, names: list[str]) -> tuple[np
     return doc, qno, out
 
 
+def query_terms_task(sent, lists: list[tuple[str, str]]):
+    """Task: forward rows whose ``lists`` (words, counts) keep the query terms only, all that a score reads of them."""
+
+    def run(batches):
+        terms = sent.value.terms
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            for words, counts in lists:
+                flat, offsets = columns[words].flatten(), np.asarray(columns[words].offsets)
+                kept = pc.is_in(flat, value_set=terms)
+                before = np.concatenate(([0], np.cumsum(kept.to_numpy(zero_copy_only=False))))
+                ends = pa.array(before[offsets - offsets[0]].astype(np.int32))
+                columns[words], columns[counts] = (pa.ListArray.from_arrays(ends, x.filter(kept)) for x in (flat, columns[counts].flatten()))
+            yield pa.record_batch(list(columns.values()), names=batch.schema.names)
+
+    return run
+
+
 def score_task(sent, names: list[str], labels: bool):
     """Task: forward rows (and, with ``labels``, ``_hits`` and ``_good``) to (qid, pid, ord, *names) rows."""
 

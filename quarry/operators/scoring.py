@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.passage_scores import QuerySide, score_task
+from quarry.operators.passage_scores import QuerySide, query_terms_task, score_task
 from quarry.plans.execution import DEFAULT_BROADCAST_ROWS, bounded_broadcast, durable, scalar_row, ship_package
 from quarry.sources.passage_index import PassageIndex, exploded
 
@@ -245,23 +245,30 @@ class Retrieval:
         With ``hits`` (qid, pid) of relevant pairs and ``good`` (pid) of passages
         of grade 1: also relevancy and grade."""
         side, spark = self._query_side(), self.index.spark
-        columns = ["pid", "ord", "terms", "tf"]
+        columns, lists, joined = ["pid", "ord", "terms", "tf"], [("terms", "tf")], []
         rows = self.index.forward.where(F.col("pid").isNotNull())
         if "tfidf_cosine" in names:
             columns += ["word_count", "pnorm"]
-            rows = rows.join(bounded_broadcast(self.index.doc_norms, self.params.broadcast_rows), "pid", "left")
+            joined.append(self.index.doc_norms)
         if set(names) - {"tfidf_cosine"}:
             columns += ["raw", "f", "dl"]
+            lists.append(("raw", "f"))
         if hits is not None:
             columns += ["_hits", "_good"]
-            lists = hits.groupBy("pid").agg(F.collect_set("qid").alias("_hits"))
-            rows = rows.join(bounded_broadcast(lists, self.params.broadcast_rows), "pid", "left")
-            marked = good.select("pid").distinct().withColumn("_mark", F.lit(True))
-            rows = rows.join(bounded_broadcast(marked, self.params.broadcast_rows), "pid", "left").withColumn("_good", F.col("_mark").isNotNull())
+            joined.append(hits.groupBy("pid").agg(F.collect_set("qid").alias("_hits")))
+            joined.append(good.select("pid").distinct().withColumn("_good", F.lit(True)))
         ship_package(spark)
+        sent, small = spark.sparkContext.broadcast(side), [t.count() <= self.params.broadcast_rows for t in joined]
+        if not all(small):  # passages move: with their query terms only
+            rows = rows.select("pid", "ord", "word_count", "dl", *[c for pair in lists for c in pair])
+            rows = rows.mapInArrow(query_terms_task(sent, lists), rows.schema)
+        for table, whole in zip(joined, small, strict=True):
+            rows = rows.join(F.broadcast(table) if whole else table, "pid", "left")
+        if hits is not None:
+            rows = rows.withColumn("_good", F.col("_good").isNotNull())
         kind = {**dict(self.queries.select("qid").dtypes), **dict(rows.select("pid", "ord").dtypes)}
         schema = ", ".join([f"{c} {kind[c]}" for c in ("qid", "pid", "ord")] + [f"{x} double" for x in [*names, *(["relevancy", "grade"] if hits is not None else [])]])
-        return rows.select(*columns).mapInArrow(score_task(spark.sparkContext.broadcast(side), list(names), hits is not None), schema)
+        return rows.select(*columns).mapInArrow(score_task(sent, list(names), hits is not None), schema)
 
     # ------------------------------------------------------------ per term
     def _matches(self) -> DataFrame:

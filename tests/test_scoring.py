@@ -108,6 +108,13 @@ def test_whole_passages_score_like_the_shuffled_shape(spark, tmp_path):
     got = whole.passage_scores([], contained_pairs(passages, queries), good_passages(quality)).collect()
     assert flat(got) == flat(want)
     assert "Exchange" not in whole.score("bm25")._jdf.queryExecution().toString()
+    # norms and labels above the broadcast bound: passages move, cut to their query terms
+    moved = Retrieval(idx, queries)
+    assert moved.by_passage()
+    moved.params = ScoringParams(broadcast_rows=1)
+    assert flat(moved.all_scores().collect()) == pytest.approx(flat(pairs.all_scores().collect()))
+    assert flat(moved.passage_scores([], contained_pairs(passages, queries), good_passages(quality)).collect()) == flat(want)
+    assert moved.score("tfidf_cosine")._jdf.queryExecution().toString().count("MapInArrow") > whole.score("tfidf_cosine")._jdf.queryExecution().toString().count("MapInArrow")
 
 
 def test_index_tables_are_made_when_asked_for(spark, tmp_path):
