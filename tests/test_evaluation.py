@@ -110,3 +110,38 @@ def test_distributed_ranks_are_stored_as_columns_and_sort_a_rounded_score_once(s
     assert large.columns == small.columns == [*df.columns, "rank"] and large.inputFiles()
     one, other = ({(r.qid, r.pid): r["rank"] for r in x.collect()} for x in (small, large))
     assert one == other and [one[1, p] for p in (3, 5, 0, 1, 4, 2)] == [1, 2, 3, 4, 5, 6]
+
+
+def test_large_runs_leave_one_order_at_a_time(spark, monkeypatch):
+    """Above the bound a summary writes the ranks and labels of one run at a time and deletes them."""
+    from quarry.plans import execution as EX
+
+    rows = [(q, p, p, 1.0 / (1 + (p * 7 + q) % 13), float(p % 5), float(p == q), float(p % 3)) for q in range(6) for p in range(40)]
+    wide = spark.createDataFrame(rows, "qid long, pid long, ord long, a double, b double, relevancy double, grade double")
+    made, gone, real = [], [], EX.kept
+    watched = lambda df, name: made.append((name, df.columns, sum(gone))) or real(df, name)
+    monkeypatch.setattr(E, "kept", watched)
+    monkeypatch.setattr("quarry.operators.ranking.kept", watched)
+    monkeypatch.setattr(E, "delete_folder", lambda s, path: gone.append(1) or EX.delete_folder(s, path))
+    got = E.wide_summary(wide, ["a", "b"], group_bound=40, window_rows=10).collect()
+    monkeypatch.undo()
+    assert sorted((r.algoname, round(r["map"], 12), round(r.mean_ndcg, 12)) for r in got) == sorted(
+        (r.algoname, round(r["map"], 12), round(r.mean_ndcg, 12)) for r in E.wide_summary(wide, ["a", "b"], group_bound=40).collect())
+    ranked = [(columns, before) for name, columns, before in made if name == "ranked"]
+    assert [before for _, before in ranked] == [0, 1] and len(gone) == len(made)  # the first run's order is gone before the second
+    assert all(not {"score", "ord", "_key"} & set(columns) for columns, _ in ranked)
+
+
+def test_union_of_runs_is_ranked_run_by_run(spark):
+    from quarry.operators.scoring import SCORERS
+    from quarry.plans import catalog as C
+
+    rows = [(q if q else None, p, p, *[float((p * k + (q or 0)) % 7) for k in range(1, 6)]) for q in range(4) for p in range(30)]
+    scored = spark.createDataFrame(rows, "qid long, pid long, ord long, " + ", ".join(f"{s} double" for s in SCORERS))
+    want = sorted((s, q or 0, p, float(r[3 + i]), rank + 1) for i, s in enumerate(SCORERS) for q in {r[0] for r in rows}
+                  for rank, r in enumerate(sorted((r for r in rows if r[0] == q), key=lambda r: (-r[3 + i], r[2]))) for p in [r[1]])
+    small, large = (C.ranked_runs(scored, 30, w) for w in (100, 10))
+    for df in (small, large):
+        assert sorted((r.algoname, r.qid or 0, r.pid, r.score, r["rank"]) for r in df.select("algoname", "qid", "pid", "score", "rank").collect()) == want
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hash")  # the pairs move once, before they are dealt to runs
